@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuskb.llm import bpe
+from corpuskb.llm import bpe, packing, quality, rules
 from corpuskb.llm.store import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -16,6 +16,28 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES = {"op1_bpe": op1_bpe}
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics of every document and the isolation forest's verdict."""
+    docs = table(spark, sf_dir, "documents")
+    return rules.judge(docs, rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens in windows of 2048, one row per piece."""
+    return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, 2048, 1)
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document under the weak-label model fitted on the corpus."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {
+    "op1_bpe": op1_bpe,
+    "op4_quality_rules": op4_quality_rules,
+    "op6_packing": op6_packing,
+    "op10_quality_classifier": op10_quality_classifier,
+}
 
 ORACLE_SQL: dict[str, str] = {}
