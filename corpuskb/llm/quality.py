@@ -20,7 +20,9 @@ from corpuskb.llm import rules, words
 
 #: Each labeller's statistic, up to where it votes good and from where it votes bad.
 LABELLERS = (
-    ("symbols per word", 0.10, 0.50),
+    ("symbols per word", 0.10, 0.35),
+    ("share of words with a symbol", 0.10, 0.30),
+    ("share of words that end in a mark other than those of sentences", 0.10, 0.30),
     ("share of upper case", 0.25, 0.60),
     ("exclamation and question marks per word", 0.10, 0.40),
     ("share of words in repeated 8-word runs", 0.10, 0.30),
@@ -67,7 +69,9 @@ class Block:
         letter = upper | ((raw >= 97) & (raw <= 122)) | (raw >= 0x80)
         symbol = np.isin(raw, np.frombuffer(rules.SYMBOLS.encode(), np.uint8))
         mark = (raw == 33) | (raw == 63)
-        return {"upper": self._in_word(upper), "letter": self._in_word(letter), "symbol": self._in_word(symbol), "mark": self._in_word(mark), "digit": self._in_word((raw >= 48) & (raw <= 57)), "length": self._in_word((raw & 0xC0) != 0x80)}
+        last = raw[self.end - 1] if len(self.end) else raw[:0]
+        odd = (last < 0x80) & ~letter[self.end - 1] & ~np.isin(last, np.frombuffer(b".,;:!?)]\"'0123456789-", np.uint8)) if len(self.end) else np.zeros(0, bool)
+        return {"odd_end": odd, "upper": self._in_word(upper), "letter": self._in_word(letter), "symbol": self._in_word(symbol), "mark": self._in_word(mark), "digit": self._in_word((raw >= 48) & (raw <= 57)), "length": self._in_word((raw & 0xC0) != 0x80)}
 
     def votes(self, shapes: dict[str, np.ndarray]) -> np.ndarray:
         """A pattern number of every row: two bits a labeller, 0 abstains, 1 good, 2 bad."""
@@ -76,6 +80,8 @@ class Block:
         s = rules.statistics(self.raw, self.offsets)
         rates = (
             total(shapes["symbol"]) / n,
+            total(shapes["symbol"] > 0) / n,
+            total(shapes["odd_end"]) / n,
             s["upper"] / np.maximum(s["letters"], 1),
             total(shapes["mark"]) / n,
             s["n_repeat_words"] / n,
@@ -173,7 +179,7 @@ def expectation_maximisation(counts: dict[int, int], rounds: int = 50) -> tuple[
             said = (votes != 0) * (n * p)[:, None]
             agreed = (votes == (1 if side == 0 else 2)) * (n * p)[:, None]
             # labellers seldom speak against a good document; each may know only one kind of bad ones
-            right[side] = np.clip((agreed.sum(0) + 4) / (said.sum(0) + 5), 0.02 if side else 0.9, 0.9995)
+            right[side] = np.clip((agreed.sum(0) + 4) / (said.sum(0) + 5), 0.15 if side else 0.97, 0.9995)
         prior = np.clip((n * good).sum() / n.sum(), 0.05, 0.98)
         logit = np.full(len(patterns), np.log(prior / (1 - prior)))
         for k in range(len(LABELLERS)):
@@ -182,7 +188,7 @@ def expectation_maximisation(counts: dict[int, int], rounds: int = 50) -> tuple[
     return dict(zip(map(int, patterns), map(float, good), strict=True)), list(zip(right[0], right[1], strict=True))
 
 
-def fit(docs: DataFrame, labels: DataFrame | None, rows: int = 6000, id_column: str = "doc_id", text_column: str = "text", keep: float = 0.998, seed: int = 11) -> Model:
+def fit(docs: DataFrame, labels: DataFrame | None, rows: int = 6000, id_column: str = "doc_id", text_column: str = "text", keep: float = 0.9995, seed: int = 11) -> Model:
     """The model: patterns and accuracies from all documents, the scorer from at most ``rows`` of them.
 
     Labelled rows, at most ``rows``, set the scorer's threshold (at least ``keep`` of the good ones stay) and
