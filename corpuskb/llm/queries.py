@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuskb.llm import bpe, packing, quality, rules
+from corpuskb.llm import bpe, chat, packing, pii, quality, rules
 from corpuskb.llm.store import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,19 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, 2048, 1)
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one of control strings, formatted, encoded with loss masks and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], rows.schema)
+    return chat.digests(chat.format_conversations(rows.unionByName(extra), VOCABULARY))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: the base patterns' spans and those that the tagger adds."""
+    return pii.digests(pii.find(table(spark, sf_dir, "documents"), pii.trained()))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document under the weak-label model fitted on the corpus."""
     docs = table(spark, sf_dir, "documents")
@@ -37,6 +50,8 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op6_packing": op6_packing,
+    "op7_chat": op7_chat,
+    "op8_pii": op8_pii,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
