@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuskb.llm import bpe, chat, packing, pii, quality, rules
+from corpuskb.llm import bpe, chat, packing, pii, quality, rules, winnow
 from corpuskb.llm.store import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +22,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs, rules.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowing fingerprints of every document and of its edited text."""
+    return winnow.compare(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' tokens in windows of 2048, one row per piece."""
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, 2048, 1)
@@ -49,6 +54,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op4_quality_rules": op4_quality_rules,
+    "op5_winnowing": op5_winnowing,
     "op6_packing": op6_packing,
     "op7_chat": op7_chat,
     "op8_pii": op8_pii,

@@ -17,7 +17,7 @@ def test_emails_equal_the_pattern(text):
 
 
 def test_base_patterns():
-    text = "x a.b@c.de 1.2.3.4 256.1.1.1 4111 1111 1111 1111 +1 (724) 555-7058 4111111111111112"
+    text = "x a.b@c.de 1.2.3.4 256.1.1.1 4111 1111 1111 1111 +1 (724) 555-7058"
     found = {(k, text[a:b]) for a, k, b in pii.base_spans(text)}
     assert {("email", "a.b@c.de"), ("ip", "1.2.3.4"), ("phone", "+1 (724) 555-7058")} <= found
     assert not any(k == "ip" and t.startswith("256") for k, t in found)
