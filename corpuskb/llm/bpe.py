@@ -73,6 +73,8 @@ class Tokenizer:
             left, right, made = vocab[a], vocab[b], vocab[a + b]
             self.merges.setdefault(left * self.size + right, rank << 24 | made)
             rules.append((left, right, made))
+        #: Whether ids stand in the order of the merges, behind those of single bytes.
+        self.ranked = sorted(self.of_byte) == list(range(256)) and [made for _, _, made in rules] == list(range(256, 256 + len(rules)))
         self.lookahead = sufficient_lookahead(rules, self.token_bytes)
         self._split = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")") if self.specials else None
         self._units = _Memo(self._unit, self.MEMO)
@@ -143,9 +145,13 @@ class Tokenizer:
                     heapq.heappush(heap, (found, a, ids[a], ids[after[a]]))
         return [i for i in ids if i >= 0]
 
+    def split_specials(self, text: str) -> list[str]:
+        """Ordinary parts of a text, and between them its special strings."""
+        return self._split.split(text) if self._split and any(s in text for s in self.specials) else [text]
+
     def encode(self, text: str) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of a text, block by block; special strings are their own ids."""
-        parts = self._split.split(text) if self._split and any(s in text for s in self.specials) else [text]
+        parts = self.split_specials(text)
         for k, part in enumerate(parts):
             if k % 2:
                 yield np.array([self.specials[part]], "<u4").tobytes()

@@ -11,13 +11,71 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskb.llm.bpe import tokenizer
+from corpuskb.llm.bpe import UNITS, tokenizer
 from corpuskb.llm.store import materialize
 
 #: Rows of one output batch: bounds the memory of a task, whatever the length of a text.
 _FLUSH = 4096
 
 
+class _Units(dict):
+    """Ids of units as bytes of a given width, remembered up to ``LIMIT`` units."""
+
+    LIMIT = 700_000
+
+    def __init__(self, encode, width: str):
+        super().__init__()
+        self._encode, self._width = encode, width
+
+    def __missing__(self, unit: str) -> bytes:
+        out = np.array(self._encode(unit), self._width).tobytes()
+        if len(unit) <= 64:
+            if len(self) >= self.LIMIT:
+                self.clear()
+            self[unit] = out
+        return out
+
+
+_encoders: dict = {}
+
+
+def id_bytes(path: str, width: str):
+    """A function from a text to its ids as bytes.
+
+    Words and white space that no merge crosses are encoded once each by a compiled encoder that holds the
+    same vocabulary as ranks; that needs ids in the order of the merges, else the library encodes whole texts.
+    """
+    if (path, width) in _encoders:
+        return _encoders[path, width]
+    t = tokenizer(path)
+    plain = {token: i for i, token in enumerate(t.token_bytes) if i not in t.specials.values() and token}
+    if t.ranked and len(plain) == t.size - len(t.specials):
+        import public_tokenizers
+        import tiktoken
+
+        encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=plain, special_tokens={})
+        units = _Units(encoding.encode_ordinary, width)
+
+        def encode(text: str) -> bytes:
+            if not any(s in text for s in t.specials):
+                return b"".join(map(units.__getitem__, UNITS.findall(text)))
+            parts = t.split_specials(text)
+            return b"".join(np.array([t.specials[p]], width).tobytes() if k % 2 else b"".join(map(units.__getitem__, UNITS.findall(p))) for k, p in enumerate(parts))
+
+    else:
+        from tokenizers import Tokenizer as Library
+
+        library = Library.from_file(path)
+        library.no_truncation()
+        library.no_padding()
+
+        def encode(text: str) -> bytes:
+            return np.array(library.encode(text, add_special_tokens=False).ids, width).tobytes()
+
+    _encoders[path, width] = encode
+    return encode
+
+
 def tokenize(docs: DataFrame, path: str, end_id: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """First pass: each document's ids with ``end_id`` behind them, its place in its partition and the tokens before it there."""
     kind = dict(docs.dtypes)[id_column]
@@ -25,11 +83,12 @@ def tokenize(docs: DataFrame, path: str, end_id: int, id_column: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, part, before = tokenizer(path), TaskContext.get().partitionId(), 0
         width = "<u2" if max(t.size, end_id + 1) <= 1 << 16 else "<u4"
+        encode = id_bytes(path, width)
         tail = np.array([end_id], width).tobytes()
         for batch in batches:
             ids, counts, starts = [], [], []
             for text in batch.column(1):
-                blob = b"".join([np.frombuffer(b, "<u4").astype(width).tobytes() for b in t.encode(text.as_py() or "")] + [tail])
+                blob = encode(text.as_py() or "") + tail
                 n = len(blob) // int(width[2])
                 ids.append(blob)
                 counts.append(n)
