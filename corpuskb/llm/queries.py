@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuskb.llm import bpe, chat, packing, pii, quality, rules, winnow
+from corpuskb.llm import bpe, chat, mixing, packing, pii, quality, rules, winnow
 from corpuskb.llm.store import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,6 +45,11 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find(table(spark, sf_dir, "documents"), pii.trained()))
 
 
+def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and mixed-context scores of every document."""
+    return mixing.score(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document under the weak-label model fitted on the corpus."""
     docs = table(spark, sf_dir, "documents")
@@ -58,6 +63,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_chat": op7_chat,
     "op8_pii": op8_pii,
+    "op9_context_mixing": op9_context_mixing,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
