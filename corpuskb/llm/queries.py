@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuskb.llm import bpe, chat, mixing, packing, pii, quality, rules, winnow
+from corpuskb.llm import bpe, chat, minhash, mixing, packing, pii, quality, rules, winnow
 from corpuskb.llm.store import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -16,6 +16,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document: five-word shingles, similarity 0.8 or more."""
+    return minhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics of every document and the isolation forest's verdict."""
     docs = table(spark, sf_dir, "documents")
@@ -58,6 +63,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_minhash": op2_minhash,
     "op4_quality_rules": op4_quality_rules,
     "op5_winnowing": op5_winnowing,
     "op6_packing": op6_packing,
