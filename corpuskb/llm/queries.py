@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuskb.llm import bpe, chat, minhash, mixing, packing, pii, quality, rules, winnow
+from corpuskb.llm import bpe, chat, minhash, mixing, packing, pii, quality, repeats, rules, winnow
 from corpuskb.llm.store import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +21,11 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that start elsewhere too; no SQL can express it at this size."""
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics of every document and the isolation forest's verdict."""
     docs = table(spark, sf_dir, "documents")
@@ -64,6 +69,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_minhash": op2_minhash,
+    "op3_suffix_array": op3_suffix_array,
     "op4_quality_rules": op4_quality_rules,
     "op5_winnowing": op5_winnowing,
     "op6_packing": op6_packing,
