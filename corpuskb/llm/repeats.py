@@ -23,6 +23,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from corpuskb.llm import anchors, words
 from corpuskb.llm.store import materialize
@@ -122,13 +123,19 @@ def heavy(rows: DataFrame, columns: list[str]) -> list[tuple[str, int]]:
     return [(columns[r["k"]], r["v"]) for r in found.where((F.col("k") >= 0) & (F.col("n") > max(PART, len(columns) * total // HOT_KEYS))).collect()]
 
 
-def _is_hot(rows: DataFrame, column: str, hot: list[tuple[str, int]], name: str) -> DataFrame:
-    """A flag for rows whose ``column`` is among the hot values, a list of bounded length."""
-    values = [(v,) for c, v in hot if c == column]
-    if not values:
-        return rows.withColumn(name, F.lit(False))
-    listed = rows.sparkSession.createDataFrame(values, "v long").select(F.col("v").alias(column), F.lit(True).alias(name))
-    return rows.join(F.broadcast(listed), column, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+def _flagged(rows: DataFrame, hot: list[tuple[str, int]], columns: list[str]) -> DataFrame:
+    """The rows with a flag hot_<column> for each of the columns: whether its value is hot."""
+    values = {c: np.sort(np.array([v for k, v in hot if k == c], np.int64)) for c in columns}
+    if not hot:
+        return rows.select("*", *(F.lit(False).alias(f"hot_{c}") for c in columns))
+    shared = rows.sparkSession.sparkContext.broadcast(values)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flags = [pa.array(np.isin(np.asarray(batch.column(batch.schema.get_field_index(c))), shared.value[c])) for c in columns]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *flags], [*batch.schema.names, *(f"hot_{c}" for c in columns)])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, *(StructField(f"hot_{c}", BooleanType()) for c in columns)]))
 
 
 def _by_group(solve, column: str = "h"):
@@ -325,7 +332,7 @@ def _dealt(rows: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
         split = split.withColumn("key", F.xxhash64("h", "low", "high", shared)).withColumn("whole", F.xxhash64("key", F.col("at").bitwiseAND(F.lit(0xFFFF)), "strip"))
         split = materialize(split, "split")
         hot = heavy(split, ["key", "whole"])
-        split = _is_hot(_is_hot(split, "key", hot, "hot_key"), "whole", hot, "hot_whole").withColumn("same", F.expr("hot_whole or hot_key and low = high"))
+        split = _flagged(split, hot, ["key", "whole"]).withColumn("same", F.expr("hot_whole or hot_key and low = high"))
         settled.append(split.where("same").select("r1", "r2", F.expr(f"shiftleft(shiftright(at, 17) - (shiftright(at, 8) & 255), 32) | (shiftright(at, 17) - (at & 255) + {LENGTH})").alias("at")))
         ready.append(split.where("not hot_key and not same").select("key", "r1", "r2", "at", "low", "high", "strip"))
         # one of each settled strip goes on, marked as settled, for others to be compared with
@@ -342,21 +349,21 @@ def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     texts = docs.select(*_row_ids(key, text), text.alias("text")).where(F.octet_length("text") >= LENGTH)
     stored = materialize(texts.mapInArrow(_anchored, "h long, c long, r1 long, r2 long, at long"), "anchors")
     hot = heavy(stored.where("h is not null"), ["h"])
-    marked = _is_hot(stored.where("h is not null"), "h", hot, "hot")
-    rest = marked.where("not hot").select("h", "c", "r1", "r2", "at").repartition("h").sortWithinPartitions("h", "c")
+    marked = _flagged(stored.where("h is not null"), hot, ["h"])
+    rest = marked.where("not hot_h").select("h", "c", "r1", "r2", "at").repartition("h").sortWithinPartitions("h", "c")
     met = materialize(rest.mapInArrow(_by_group(_met), "h long, r1 long, r2 long, at long"), "met")
     spans = [stored.where("h is null").select("r1", "r2", "at"), met.where("h is null").select("r1", "r2", "at")]
     asked = met.where("h is not null")
     if hot:
-        asked = asked.unionByName(marked.where("hot").select("h", "r1", "r2", "at"))
+        asked = asked.unionByName(marked.where("hot_h").select("h", "r1", "r2", "at"))
     grouped = asked.groupBy("r1", "r2").agg(F.collect_list(F.struct("h", "at")).alias("x")).select("r1", "r2", F.col("x.h").alias("hs"), F.col("x.at").alias("ats"))
     packed = texts.mapInArrow(_packed, "r1 long, r2 long, blob binary")
     joined = packed.join(grouped.hint("shuffle_hash"), ["r1", "r2"]).select("r1", "r2", "blob", "hs", "ats")
     strips = materialize(joined.mapInArrow(_strips, "h long, r1 long, r2 long, at long, strip binary"), "strips")
-    strips = _is_hot(strips.select("*", F.lit(0).cast("long").alias("low"), F.lit(WIDTH).cast("long").alias("high")), "h", hot, "hot")
-    ready = [strips.where("not hot").select(F.col("h").alias("key"), "r1", "r2", "at", "low", "high", "strip")]
+    strips = _flagged(strips.select("*", F.lit(0).cast("long").alias("low"), F.lit(WIDTH).cast("long").alias("high")), hot, ["h"])
+    ready = [strips.where("not hot_h").select(F.col("h").alias("key"), "r1", "r2", "at", "low", "high", "strip")]
     if hot:
-        more, settled = _dealt(strips.where("hot").drop("hot"))
+        more, settled = _dealt(strips.where("hot_h").drop("hot_h"))
         ready += more
         spans += settled
     for rows in ready:
