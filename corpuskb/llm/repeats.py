@@ -332,7 +332,12 @@ def _dealt(rows: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
         split = split.withColumn("key", F.xxhash64("h", "low", "high", shared)).withColumn("whole", F.xxhash64("key", F.col("at").bitwiseAND(F.lit(0xFFFF)), "strip"))
         split = materialize(split, "split")
         hot = heavy(split, ["key", "whole"])
-        split = _flagged(split, hot, ["key", "whole"]).withColumn("same", F.expr("hot_whole or hot_key and low = high"))
+        if hot:
+            # three readers: the flags are computed once
+            split = materialize(_flagged(split, hot, ["key", "whole"]), "flagged")
+        else:
+            split = _flagged(split, hot, ["key", "whole"])
+        split = split.withColumn("same", F.expr("hot_whole or hot_key and low = high"))
         settled.append(split.where("same").select("r1", "r2", F.expr(f"shiftleft(shiftright(at, 17) - (shiftright(at, 8) & 255), 32) | (shiftright(at, 17) - (at & 255) + {LENGTH})").alias("at")))
         ready.append(split.where("not hot_key and not same").select("key", "r1", "r2", "at", "low", "high", "strip"))
         # one of each settled strip goes on, marked as settled, for others to be compared with
