@@ -31,6 +31,9 @@ LABELLERS = (
     ("words without a letter per word", 0.15, 0.45),
 )
 SLOTS = 1 << 15
+_SYMBOL, _PLAIN_END = np.zeros(256, bool), np.zeros(256, bool)
+_SYMBOL[list(rules.SYMBOLS.encode())] = True
+_PLAIN_END[list(b".,;:!?)]\"'0123456789-")] = True
 PREFIX = 7
 
 
@@ -59,32 +62,40 @@ class Block:
         self.again = np.zeros(len(self.hash), bool)
         self.again[1:] = (self.hash[1:] == self.hash[:-1]) & (self.row[1:] == self.row[:-1])
 
-    def _in_word(self, flags: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
-        return total[self.end] - total[self.start]
+    def _in_word(self, flags: np.ndarray, dense: bool = False) -> np.ndarray:
+        """How many flagged bytes each word has; flagged bytes lie in words."""
+        if dense:
+            total = np.zeros(len(flags) + 1, np.int32)  # a block is far below two billion bytes
+            np.cumsum(flags, dtype=np.int32, out=total[1:])
+            return total[self.end] - total[self.start]
+        return np.bincount(np.searchsorted(self.start, np.flatnonzero(flags), "right") - 1, minlength=len(self.start))
 
     def shapes(self) -> dict[str, np.ndarray]:
         raw = self.raw
         upper = (raw >= 65) & (raw <= 90)
         letter = upper | ((raw >= 97) & (raw <= 122)) | (raw >= 0x80)
-        symbol = np.isin(raw, np.frombuffer(rules.SYMBOLS.encode(), np.uint8))
         mark = (raw == 33) | (raw == 63)
         last = raw[self.end - 1] if len(self.end) else raw[:0]
-        odd = (last < 0x80) & ~letter[self.end - 1] & ~np.isin(last, np.frombuffer(b".,;:!?)]\"'0123456789-", np.uint8)) if len(self.end) else np.zeros(0, bool)
-        return {"odd_end": odd, "upper": self._in_word(upper), "letter": self._in_word(letter), "symbol": self._in_word(symbol), "mark": self._in_word(mark), "digit": self._in_word((raw >= 48) & (raw <= 57)), "length": self._in_word((raw & 0xC0) != 0x80)}
+        odd = (last < 0x80) & ~letter[self.end - 1] & ~_PLAIN_END[last] if len(self.end) else np.zeros(0, bool)
+        # only words of over 40 bytes can have over 40 characters
+        length = self.end - self.start
+        for k in np.flatnonzero(length > 40).tolist():
+            length[k] = np.count_nonzero((raw[self.start[k] : self.end[k]] & 0xC0) != 0x80)
+        return {"odd_end": odd, "upper": self._in_word(upper), "letter": self._in_word(letter, True), "symbol": self._in_word(_SYMBOL[raw]), "mark": self._in_word(mark), "digit": self._in_word((raw >= 48) & (raw <= 57)), "length": length}
 
     def votes(self, shapes: dict[str, np.ndarray]) -> np.ndarray:
         """A pattern number of every row: two bits a labeller, 0 abstains, 1 good, 2 bad."""
         n = np.maximum(self.count, 1)
         total = lambda x: np.bincount(self.row, weights=x, minlength=self.n)
-        s = rules.statistics(self.raw, self.offsets)
+        upper = total(shapes["upper"])
+        lower = rules._per_row((self.raw >= 97) & (self.raw <= 122), self.offsets)
         rates = (
             total(shapes["symbol"]) / n,
             total(shapes["symbol"] > 0) / n,
             total(shapes["odd_end"]) / n,
-            s["upper"] / np.maximum(s["letters"], 1),
+            upper / np.maximum(upper + lower, 1),
             total(shapes["mark"]) / n,
-            s["n_repeat_words"] / n,
+            rules.repeat_words(self.hash, self.row, self.n) / n,
             total(self.again) / n,
             total(shapes["length"] > 40) / n,
             total(shapes["letter"] == 0) / n,
@@ -120,13 +131,11 @@ class Block:
         two[1:] = (low[:-1] == 0xC3) & (low[1:] >= 0x80) & (low[1:] <= 0x9E)
         low[two] += 32
         plain = ((low >= 97) & (low <= 122)) | ((low >= 48) & (low <= 57)) | (low >= 0x80)
-        before = np.concatenate([[0], np.cumsum(plain, dtype=np.int64)])
         start, end = self.start.copy(), self.end.copy()
         for _ in range(4):
             start += (start < end) & ~plain[np.minimum(start, len(plain) - 1)] if len(plain) else 0
         for _ in range(4):
             end -= (end > start) & ~plain[np.maximum(end - 1, 0)] if len(plain) else 0
-        del before
         whole = words.span_hashes(low, start, end)
         head = np.where(end - start > PREFIX, start + PREFIX, end)
         return whole, words.mix(words.span_hashes(low, start, head) + np.uint64(1))

@@ -24,13 +24,14 @@ _EXTRA = ("upper", "letters", "marks", "digits", "distinct_words")
 
 
 def _per_row(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
-    return total[offsets[1:]] - total[offsets[:-1]]
+    total = np.zeros(len(flags) + 1, np.int32)  # blocks are far below two billion bytes
+    np.cumsum(flags, dtype=np.int32, out=total[1:])
+    return (total[offsets[1:]] - total[offsets[:-1]]).astype(np.int64)
 
 
 def _repeated(keys: np.ndarray) -> np.ndarray:
     """Which keys occur twice or more."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ranked = keys[order]
     same = ranked[1:] == ranked[:-1]
     out = np.zeros(len(keys), bool)
@@ -39,6 +40,23 @@ def _repeated(keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def repeat_words(hashes: np.ndarray, row: np.ndarray, n_rows: int, window: int = 8) -> np.ndarray:
+    """For each row, its words that lie in runs of ``window`` words found twice or more in it."""
+    covered = np.zeros(len(hashes) + window, np.int32)
+    n = len(hashes) - window + 1
+    if n > 0:
+        row_key = words.mix(np.arange(1, n_rows + 1, dtype=np.uint64))
+        grams = np.zeros(n, np.uint64)
+        for k in range(window):
+            grams = grams * np.uint64(0xD6E8FEB86659FD93) + hashes[k : k + n]
+        whole = np.flatnonzero(row[:n] == row[window - 1 :])
+        again = whole[_repeated(words.mix(grams[whole]) + row_key[row[whole]])]
+        np.add.at(covered, again, 1)
+        np.add.at(covered, again + window, -1)
+    hit = np.cumsum(covered)[: len(hashes)] > 0
+    return np.bincount(row[hit], minlength=n_rows)
+
+
 def statistics(raw: np.ndarray, offsets: np.ndarray, window: int = 8) -> dict[str, np.ndarray]:
     """The rules' counts for each row of a block of texts."""
     n_rows = len(offsets) - 1
@@ -68,17 +86,7 @@ def statistics(raw: np.ndarray, offsets: np.ndarray, window: int = 8) -> dict[st
     out["n_dup_lines"] = np.bincount(line_row, minlength=n_rows) - np.bincount(line_row[first], minlength=n_rows)
 
     hashes = words.span_hashes(raw, start, end)
-    covered = np.zeros(len(hashes) + window, np.int32)
-    n = len(hashes) - window + 1
-    if n > 0:
-        grams = np.zeros(n, np.uint64)
-        for k in range(window):
-            grams = grams * np.uint64(0xD6E8FEB86659FD93) + hashes[k : k + n]
-        whole = np.flatnonzero(row[:n] == row[window - 1 :])
-        again = whole[_repeated(words.mix(grams[whole]) + row_key[row[whole]])]
-        np.add.at(covered, again, 1)
-        np.add.at(covered, again + window, -1)
-    out["n_repeat_words"] = np.bincount(row, weights=np.cumsum(covered)[: len(hashes)] > 0, minlength=n_rows).astype(np.int64)
+    out["n_repeat_words"] = repeat_words(hashes, row, n_rows, window)
 
     distinct, first = np.unique(hashes + row_key[row], return_index=True)
     out["distinct_words"] = np.bincount(row[first], minlength=n_rows)
