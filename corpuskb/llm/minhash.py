@@ -8,7 +8,8 @@ no more darts than a short one. Two texts' coordinates agree with their weighted
 
 Equal word sequences are one node. Nodes that agree in all rows of a band meet in a bucket; there each is
 compared, by part of its signature, with leaders: the first node, then the first one far from all before it.
-Large buckets are split and only the parts' leaders meet. Links are accepted or refused by whole signatures
+Large buckets are split and only the parts' leaders meet. First only the least node of each bucket leads;
+nodes that its sure links connect need no further links among each other. Links are accepted or refused by whole signatures
 where these are clear; unclear links between different classes are settled by the texts' shingles.
 """
 
@@ -110,89 +111,108 @@ def sign(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return chosen.mapInArrow(run, f"key {kind}, digest binary, signature binary")
 
 
-def _lead(node: np.ndarray, glance: np.ndarray) -> tuple[list, list, list]:
-    """Links of a bucket's nodes to its leaders, in order of node; and the leaders' places."""
-    order = np.argsort(node, kind="stable")
+def _lead(node: np.ndarray, glance: np.ndarray, group: np.ndarray, first: bool) -> tuple[list, list, list]:
+    """Links of a bucket's nodes to its leaders, in order of node; and the leaders' places.
+
+    Nodes of one group are connected already and need no link. With ``first`` only the least node leads.
+    """
+    rest = np.argsort(node, kind="stable")
     links_a, links_b, leaders = [], [], []
-    rest = order
     while len(rest):
         leader, rest = rest[0], rest[1:]
         leaders.append(leader)
         if not len(rest):
             break
         share = (glance[rest] == glance[leader]).mean(1)
-        near = rest[share >= GLANCE_LEAST]
+        near = rest[(share >= GLANCE_LEAST) & (group[rest] != group[leader])]
         links_a += node[near].tolist()
         links_b += [node[leader]] * len(near)
+        if first:
+            break
         # a node that surely belongs to the leader needs no leader of its own
         rest = rest[share < 0.97]
     return links_a, links_b, leaders
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meet(first: bool):
     """Links within the buckets of a sorted partition; leaders of split buckets come out as well, to meet each other."""
-    names = ["a", "b", "bucket", "glance"]
-    held: list[pa.RecordBatch] = []
+    names = ["a", "b", "bucket", "glance", "grp"]
 
     def settle(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        bucket, part, node = (table.column(c).to_numpy() for c in ("bucket", "part", "node"))
+        bucket, part, node, group = (table.column(c).to_numpy() for c in ("bucket", "part", "node", "grp"))
         split = table.column("split").to_numpy(zero_copy_only=False)
         blobs = table.column("glance").combine_chunks()
         glance = np.frombuffer(b"".join(blobs.to_pylist()), "<u2").reshape(len(node), -1)
         edge = np.flatnonzero((bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])) + 1
         a, b, at = [], [], []
         for x, y in zip([0, *edge], [*edge, len(node)], strict=True):
-            if y - x > 1 or split[x]:
-                p, q, leaders = _lead(node[x:y], glance[x:y])
+            if split[x] or (group[x:y] != group[x]).any():
+                p, q, leaders = _lead(node[x:y], glance[x:y], group[x:y], first)
                 a += p
                 b += q
                 if split[x]:
                     at += [x + j for j in leaders]
         if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.binary())], names)
+            n = len(a)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], names)
         if at:
-            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.nulls(len(at), pa.int64()), pa.array(bucket[at]), pa.array([blobs[j].as_py() for j in at], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.nulls(len(at), pa.int64()), pa.array(bucket[at]), pa.array([blobs[j].as_py() for j in at], pa.binary()), pa.array(group[at])], names)
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        if sum(x.num_rows for x in held) < 20_000:
-            continue
-        table = pa.Table.from_batches(held).combine_chunks()
-        bucket, part = table.column("bucket").to_numpy(), table.column("part").to_numpy()
-        # the last bucket may go on in the next batch
-        last = np.flatnonzero((bucket != bucket[-1]) | (part != part[-1]))
-        cut = int(last[-1]) + 1 if len(last) else 0
-        if cut:
-            yield from settle(table.slice(0, cut))
-            held = table.slice(cut).combine_chunks().to_batches()
-    if held:
-        yield from settle(pa.Table.from_batches(held).combine_chunks())
-
-
-def candidate_links(nodes: DataFrame) -> DataFrame:
-    """Links (a, b) of nodes that meet in a bucket and look alike at a glance."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if sum(x.num_rows for x in held) < 20_000:
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            bucket, part = table.column("bucket").to_numpy(), table.column("part").to_numpy()
+            # the last bucket may go on in the next batch
+            last = np.flatnonzero((bucket != bucket[-1]) | (part != part[-1]))
+            cut = int(last[-1]) + 1 if len(last) else 0
+            if cut:
+                yield from settle(table.slice(0, cut))
+                held = table.slice(cut).combine_chunks().to_batches()
+        if held:
+            yield from settle(pa.Table.from_batches(held).combine_chunks())
+
+    return run
+
+
+def buckets(nodes: DataFrame) -> DataFrame:
+    """Nodes that share a bucket with others, one row for each such bucket; large buckets are split into parts."""
     bands = F.array(*(F.xxhash64(F.lit(b), F.substring("signature", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(BANDS)))
     members = nodes.where(F.col("signature").isNotNull()).select("node", F.explode(bands).alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     glances = nodes.select("node", F.substring("signature", 1, 2 * GLANCE).alias("glance"))
     parts = F.ceil(F.col("n") / PART)
     shared = members.join(sizes, "bucket").select("bucket", "node", F.when(F.col("n") > PART, F.pmod(F.xxhash64(F.lit(5), "node"), parts)).otherwise(0).cast("int").alias("part"), (F.col("n") > PART).alias("split"))
-    met = shared.join(glances, "node")
-    schema = "a long, b long, bucket long, glance binary"
+    return materialize(shared.join(glances, "node"), "buckets")
+
+
+def candidate_links(met: DataFrame, first: bool) -> DataFrame:
+    """Links (a, b) of nodes that meet in a bucket, look alike at a glance and differ in ``grp``."""
+    schema = "a long, b long, bucket long, glance binary, grp long"
 
     def deal(rows: DataFrame) -> DataFrame:
-        rows = rows.select("bucket", "part", "node", "split", "glance")
-        return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_meet, schema)
+        rows = rows.select("bucket", "part", "node", "split", "glance", "grp")
+        return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_meet(first), schema)
 
-    first = materialize(deal(met), "links")
+    found = materialize(deal(met), "links")
     # leaders of the parts of large buckets meet once more, in one place for each bucket
-    leaders = first.where("bucket is not null").select("bucket", F.lit(0).alias("part"), F.col("a").alias("node"), F.lit(False).alias("split"), "glance")
-    links = first.where("b is not null").select("a", "b").unionByName(deal(leaders).where("b is not null").select("a", "b"))
+    leaders = found.where("bucket is not null").select("bucket", F.lit(0).alias("part"), F.col("a").alias("node"), F.lit(False).alias("split"), "glance", "grp")
+    links = found.where("b is not null").select("a", "b").unionByName(deal(leaders).where("b is not null").select("a", "b"))
     return links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def weigh(links: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """The links with the share of coordinates in which whole signatures agree, without those surely too far apart."""
+    names = nodes.select("node", "signature")
+    both = links.join(names.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a").join(names.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b").select("a", "b", "x", "y")
+    return materialize(both.mapInArrow(_agreement, "a long, b long, share double").where(F.col("share") >= least - CLEAR - 0.04), "weighed")
+
+
 def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, K) for k in (2, 3))
@@ -238,12 +258,17 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     signed = materialize(sign(docs, id_column, text_column), "signatures")
     nodes = signed.groupBy("digest").agg(F.coalesce(F.min("key").cast("long"), F.xxhash64("digest")).alias("node"), F.first("signature", ignorenulls=True).alias("signature"))
     nodes = materialize(nodes, "nodes")
-    links = candidate_links(nodes)
-    names = nodes.select("node", "signature")
-    weighed = links.join(names.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a").join(names.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b").select("a", "b", "x", "y")
-    weighed = materialize(weighed.mapInArrow(_agreement, "a long, b long, share double").where(F.col("share") >= least - CLEAR - 0.04), "weighed")
+    # links to each bucket's least node connect most groups; after that only links between groups count
+    met = buckets(nodes)
+    weighed = weigh(candidate_links(met.withColumn("grp", F.col("node")), True), nodes, least)
     clear = weighed.where(F.col("share") >= least + CLEAR).select("a", "b")
     found = components(clear)
+    grouped = met.join(found, "node", "left").withColumn("grp", F.coalesce("component", "node")).drop("component")
+    mixed = grouped.groupBy("bucket").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x < y").select("bucket")
+    rest = weigh(candidate_links(grouped.join(mixed, "bucket", "left_semi"), False), nodes, least)
+    clear = clear.unionByName(rest.where(F.col("share") >= least + CLEAR).select("a", "b"))
+    weighed = weighed.unionByName(rest)
+    found = components(clear)
     # an unclear link matters only between classes
     owner = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
     unclear = weighed.where(F.col("share") < least + CLEAR).select("a", "b").join(owner("a"), "a", "left").join(owner("b"), "b", "left")
