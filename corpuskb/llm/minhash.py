@@ -35,6 +35,8 @@ K = ROWS * BANDS
 GLANCE, GLANCE_LEAST = 40, 0.55
 #: Beyond this distance from the threshold a whole signature is clear: over three standard deviations.
 CLEAR = 0.09
+#: Unclear links of a node that are settled first, the likeliest; others only if they join different groups then.
+TRIED = 3
 #: Nodes of a bucket that are compared in one place.
 PART = 1000
 #: Ids that may be broadcast, a few megabytes; beyond it the same join is shuffled.
@@ -247,6 +249,22 @@ def _texts(docs: DataFrame, ids: DataFrame, id_column: str, text_column: str) ->
     return found.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "node", "left_semi").dropDuplicates(["node"])
 
 
+def _between(links: DataFrame, found: DataFrame) -> DataFrame:
+    """The links whose ends are in different components."""
+    owner = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    out = links.join(owner("a"), "a", "left").join(owner("b"), "b", "left")
+    return out.where("of_a is null or of_b is null or of_a <> of_b").select("a", "b", "share")
+
+
+def _settled(docs: DataFrame, links: DataFrame, id_column: str, text_column: str, least: float) -> DataFrame:
+    """The links whose texts' shingles are alike enough."""
+    links = materialize(links, "unclear")
+    wanted = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    texts = _texts(docs, wanted, id_column, text_column)
+    read = links.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+    return materialize(read.select("a", "b", "x", "y").mapInArrow(_settle(least), "a long, b long"), "settled")
+
+
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = 0.8) -> DataFrame:
     """One row per input row: its id, ``class_id`` (the least id of its class) and whether it is that one.
 
@@ -261,23 +279,19 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     # links to each bucket's least node connect most groups; after that only links between groups count
     met = buckets(nodes)
     weighed = weigh(candidate_links(met.withColumn("grp", F.col("node")), True), nodes, least)
-    clear = weighed.where(F.col("share") >= least + CLEAR).select("a", "b")
-    found = components(clear)
+    sure = F.col("share") >= least + CLEAR
+    linked = weighed.where(sure).select("a", "b")
+    between = lambda rows, found: _between(rows.where(~sure), found)
+    best = F.slice(F.sort_array(F.collect_list(F.struct("share", "b")), False), 1, TRIED)
+    tried = between(weighed, components(linked)).groupBy("a").agg(F.explode(best).alias("x")).select("a", "x.b")
+    linked = linked.unionByName(_settled(docs, tried, id_column, text_column, least))
+    found = components(linked)
     grouped = met.join(found, "node", "left").withColumn("grp", F.coalesce("component", "node")).drop("component")
     mixed = grouped.groupBy("bucket").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x < y").select("bucket")
     rest = weigh(candidate_links(grouped.join(mixed, "bucket", "left_semi"), False), nodes, least)
-    clear = clear.unionByName(rest.where(F.col("share") >= least + CLEAR).select("a", "b"))
-    weighed = weighed.unionByName(rest)
-    found = components(clear)
-    # an unclear link matters only between classes
-    owner = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
-    unclear = weighed.where(F.col("share") < least + CLEAR).select("a", "b").join(owner("a"), "a", "left").join(owner("b"), "b", "left")
-    unclear = materialize(unclear.where("of_a is null or of_b is null or of_a <> of_b").select("a", "b"), "unclear")
-    wanted = unclear.select(F.col("a").alias("node")).union(unclear.select("b")).distinct()
-    texts = _texts(docs, wanted, id_column, text_column)
-    read = unclear.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-    settled = read.select("a", "b", "x", "y").mapInArrow(_settle(least), "a long, b long")
-    found = components(clear.unionByName(settled))
+    linked = materialize(linked.unionByName(rest.where(sure).select("a", "b")), "linked")
+    tried = between(weighed.unionByName(rest), components(linked)).select("a", "b").distinct()
+    found = components(linked.unionByName(_settled(docs, tried, id_column, text_column, least)))
     named = nodes.select("digest", "node").join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("class_id"))
     return signed.select("key", "digest").join(named, "digest").select(F.col("key").alias(id_column), "class_id", (F.col("key").eqNullSafe(F.col("class_id"))).alias("kept"))
 
