@@ -7,8 +7,8 @@ its earliest dart. Only ranks below about k ln k over the text's weight are thro
 no more darts than a short one. Two texts' coordinates agree with their weighted Jaccard similarity.
 
 Equal word sequences are one node. Nodes that agree in all rows of a band meet in a bucket; there each is
-compared, by part of its signature, with leaders: the first node, then the first one far from all before it.
-Large buckets are split and only the parts' leaders meet. First only the least node of each bucket leads;
+compared, by part of its signature, with leaders: one node, then the next one far from all before it.
+Large buckets are split and only the parts' leaders meet. First only one node of each bucket leads, the one that meets most others;
 nodes that its sure links connect need no further links among each other. Links are accepted or refused by whole signatures
 where these are clear; unclear links between different classes are settled by the texts' shingles.
 """
@@ -32,7 +32,7 @@ ROWS, BANDS = 6, 36
 K = ROWS * BANDS
 #: Coordinates that are compared within buckets, and the share below which nodes are no candidates:
 #: at a true similarity of 0.8 that many fewer are over four standard deviations off.
-GLANCE, GLANCE_LEAST = 40, 0.55
+GLANCE, GLANCE_LEAST = 72, 0.61
 #: Beyond this distance from the threshold a whole signature is clear: over three standard deviations.
 CLEAR = 0.09
 #: Unclear links of a node that are settled first, the likeliest; others only if they join different groups then.
@@ -113,12 +113,12 @@ def sign(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return chosen.mapInArrow(run, f"key {kind}, digest binary, signature binary")
 
 
-def _lead(node: np.ndarray, glance: np.ndarray, group: np.ndarray, first: bool) -> tuple[list, list, list]:
-    """Links of a bucket's nodes to its leaders, in order of node; and the leaders' places.
+def _lead(node: np.ndarray, met: np.ndarray, glance: np.ndarray, group: np.ndarray, first: bool) -> tuple[list, list, list]:
+    """Links of a bucket's nodes to its leaders, those that have met most nodes first; and the leaders' places.
 
-    Nodes of one group are connected already and need no link. With ``first`` only the least node leads.
+    Nodes of one group are connected already and need no link. With ``first`` only one node leads.
     """
-    rest = np.argsort(node, kind="stable")
+    rest = np.lexsort((node, -met))
     links_a, links_b, leaders = [], [], []
     while len(rest):
         leader, rest = rest[0], rest[1:]
@@ -138,10 +138,10 @@ def _lead(node: np.ndarray, glance: np.ndarray, group: np.ndarray, first: bool)
 
 def _meet(first: bool):
     """Links within the buckets of a sorted partition; leaders of split buckets come out as well, to meet each other."""
-    names = ["a", "b", "bucket", "glance", "grp"]
+    names = ["a", "b", "bucket", "glance", "grp", "met"]
 
     def settle(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        bucket, part, node, group = (table.column(c).to_numpy() for c in ("bucket", "part", "node", "grp"))
+        bucket, part, node, group, met = (table.column(c).to_numpy() for c in ("bucket", "part", "node", "grp", "met"))
         split = table.column("split").to_numpy(zero_copy_only=False)
         blobs = table.column("glance").combine_chunks()
         glance = np.frombuffer(b"".join(blobs.to_pylist()), "<u2").reshape(len(node), -1)
@@ -149,16 +149,16 @@ def _meet(first: bool):
         a, b, at = [], [], []
         for x, y in zip([0, *edge], [*edge, len(node)], strict=True):
             if split[x] or (group[x:y] != group[x]).any():
-                p, q, leaders = _lead(node[x:y], glance[x:y], group[x:y], first)
+                p, q, leaders = _lead(node[x:y], met[x:y], glance[x:y], group[x:y], first)
                 a += p
                 b += q
                 if split[x]:
                     at += [x + j for j in leaders]
         if a:
             n = len(a)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], names)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
         if at:
-            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.nulls(len(at), pa.int64()), pa.array(bucket[at]), pa.array([blobs[j].as_py() for j in at], pa.binary()), pa.array(group[at])], names)
+            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.nulls(len(at), pa.int64()), pa.array(bucket[at]), pa.array([blobs[j].as_py() for j in at], pa.binary()), pa.array(group[at]), pa.array(met[at])], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -189,21 +189,23 @@ def buckets(nodes: DataFrame) -> DataFrame:
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     glances = nodes.select("node", F.substring("signature", 1, 2 * GLANCE).alias("glance"))
     parts = F.ceil(F.col("n") / PART)
-    shared = members.join(sizes, "bucket").select("bucket", "node", F.when(F.col("n") > PART, F.pmod(F.xxhash64(F.lit(5), "node"), parts)).otherwise(0).cast("int").alias("part"), (F.col("n") > PART).alias("split"))
-    return materialize(shared.join(glances, "node"), "buckets")
+    shared = members.join(sizes, "bucket").select("bucket", "node", F.when(F.col("n") > PART, F.pmod(F.xxhash64(F.lit(5), "node"), parts)).otherwise(0).cast("int").alias("part"), (F.col("n") > PART).alias("split"), "n")
+    # the text that many copies were made from meets more of them than any copy does
+    most = shared.groupBy("node").agg(F.sum("n").alias("met"))
+    return materialize(shared.drop("n").join(glances.join(most, "node"), "node"), "buckets")
 
 
 def candidate_links(met: DataFrame, first: bool) -> DataFrame:
     """Links (a, b) of nodes that meet in a bucket, look alike at a glance and differ in ``grp``."""
-    schema = "a long, b long, bucket long, glance binary, grp long"
+    schema = "a long, b long, bucket long, glance binary, grp long, met long"
 
     def deal(rows: DataFrame) -> DataFrame:
-        rows = rows.select("bucket", "part", "node", "split", "glance", "grp")
+        rows = rows.select("bucket", "part", "node", "split", "glance", "grp", "met")
         return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_meet(first), schema)
 
     found = materialize(deal(met), "links")
     # leaders of the parts of large buckets meet once more, in one place for each bucket
-    leaders = found.where("bucket is not null").select("bucket", F.lit(0).alias("part"), F.col("a").alias("node"), F.lit(False).alias("split"), "glance", "grp")
+    leaders = found.where("bucket is not null").select("bucket", F.lit(0).alias("part"), F.col("a").alias("node"), F.lit(False).alias("split"), "glance", "grp", "met")
     links = found.where("b is not null").select("a", "b").unionByName(deal(leaders).where("b is not null").select("a", "b"))
     return links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
@@ -276,7 +278,7 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     signed = materialize(sign(docs, id_column, text_column), "signatures")
     nodes = signed.groupBy("digest").agg(F.coalesce(F.min("key").cast("long"), F.xxhash64("digest")).alias("node"), F.first("signature", ignorenulls=True).alias("signature"))
     nodes = materialize(nodes, "nodes")
-    # links to each bucket's least node connect most groups; after that only links between groups count
+    # links to one node of each bucket connect most groups; after that only links between groups count
     met = buckets(nodes)
     weighed = weigh(candidate_links(met.withColumn("grp", F.col("node")), True), nodes, least)
     sure = F.col("share") >= least + CLEAR
