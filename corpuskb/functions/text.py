@@ -29,3 +29,37 @@ def text_hash12(value: Column) -> Column:
 def estimate_tokens(value: Column) -> Column:
     """A third of the characters, one at least."""
     return F.greatest(F.floor(F.length(F.coalesce(value, F.lit(""))) / 3), F.lit(1)).cast("long")
+
+
+def preview(value: Column, limit: int = 180) -> Column:
+    """Single-spaced text, cut at ``limit`` characters with three dots at its end."""
+    flat = F.trim(F.regexp_replace(F.coalesce(value, F.lit("")), r"\s+", " "))
+    return F.when(F.length(flat) <= limit, flat).otherwise(F.concat(F.rtrim(F.substring(flat, 1, limit - 3)), F.lit("...")))
+
+
+def stable_hash(*parts: Column) -> Column:
+    """First 16 hex digits of the MD5 of the stripped parts, joined by the unit separator; null parts are empty."""
+    return F.substring(F.md5(F.concat_ws("\x1f", *(strip_text(p) for p in parts))), 1, 16)
+
+
+def tokens(value: Column) -> Column:
+    """Words of the normalized text."""
+    return F.filter(F.split(norm_text(value), " "), lambda x: x != "")
+
+
+def canonical_book_name(value: Column) -> Column:
+    """A book's name without its known suffix."""
+    return F.regexp_replace(strip_text(value), r"(\.fb2\.zip|\.fb2|\.txt|\.zip)$", "")
+
+
+def duration(seconds: Column) -> Column:
+    """Seconds as ``Ns``, ``MmSSs`` or ``HhMMmSSs``."""
+    s = F.floor(seconds).cast("int")
+    hours, minutes, rest = F.floor(s / 3600).cast("int"), F.floor(s % 3600 / 60).cast("int"), s % 60
+    return F.when(s < 60, F.format_string("%ds", s)).when(s < 3600, F.format_string("%dm%02ds", minutes, rest)).otherwise(F.format_string("%dh%02dm%02ds", hours, minutes, rest))
+
+
+def looks_like_heading(line: Column) -> Column:
+    """At most 120 characters that are a chapter word with what follows, a roman or plain number, or four capitals or more."""
+    t = strip_text(line)
+    return (F.length(t) > 0) & (F.length(t) <= 120) & (t.rlike(r"(?iu)^(глава|часть|пролог|эпилог|chapter|part)( |$)") | t.rlike(r"^([IVXLCDM]+|[0-9]+)\.?$") | ((F.upper(t) == t) & t.rlike(r"(?U)\p{Lu}.*\p{Lu}.*\p{Lu}.*\p{Lu}")))
