@@ -7,9 +7,9 @@ its earliest dart. Only ranks below about k ln k over the text's weight are thro
 no more darts than a short one. Two texts' coordinates agree with their weighted Jaccard similarity.
 
 Equal word sequences are one node. Nodes that agree in all rows of a band meet in a bucket; there each is
-compared, by part of its signature, with leaders: one node, then the next one far from all before it.
-Large buckets are split and only the parts' leaders meet. First only one node of each bucket leads, the one that meets most others;
-nodes that its sure links connect need no further links among each other. Links are accepted or refused by whole signatures
+compared, by part of its signature, with leaders. First only one node of each bucket leads, the one that meets most others;
+large buckets are split and their parts' leaders meet. Nodes that its links connect need no further links among each
+other; all others of a bucket are compared with each other in a second round. Links are accepted or refused by whole signatures
 where these are clear; unclear links between different classes are settled by the texts' shingles.
 """
 
@@ -113,52 +113,64 @@ def sign(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return chosen.mapInArrow(run, f"key {kind}, digest binary, signature binary")
 
 
-def _lead(node: np.ndarray, met: np.ndarray, glance: np.ndarray, group: np.ndarray, first: bool) -> tuple[list, list, list]:
-    """Links of a bucket's nodes to its leaders, those that have met most nodes first; and the leaders' places.
-
-    Nodes of one group are connected already and need no link. With ``first`` only one node leads.
-    """
-    rest = np.lexsort((node, -met))
-    links_a, links_b, leaders = [], [], []
-    while len(rest):
-        leader, rest = rest[0], rest[1:]
-        leaders.append(leader)
-        if not len(rest):
-            break
-        share = (glance[rest] == glance[leader]).mean(1)
-        near = rest[(share >= GLANCE_LEAST) & (group[rest] != group[leader])]
-        links_a += node[near].tolist()
-        links_b += [node[leader]] * len(near)
-        if first:
-            break
-        # a node that surely belongs to the leader needs no leader of its own
-        rest = rest[share < 0.97]
-    return links_a, links_b, leaders
-
-
-def _meet(first: bool):
-    """Links within the buckets of a sorted partition; leaders of split buckets come out as well, to meet each other."""
-    names = ["a", "b", "bucket", "glance", "grp", "met"]
-
-    def settle(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        bucket, part, node, group, met = (table.column(c).to_numpy() for c in ("bucket", "part", "node", "grp", "met"))
-        split = table.column("split").to_numpy(zero_copy_only=False)
-        blobs = table.column("glance").combine_chunks()
-        glance = np.frombuffer(b"".join(blobs.to_pylist()), "<u2").reshape(len(node), -1)
-        edge = np.flatnonzero((bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])) + 1
-        a, b, at = [], [], []
-        for x, y in zip([0, *edge], [*edge, len(node)], strict=True):
-            if split[x] or (group[x:y] != group[x]).any():
-                p, q, leaders = _lead(node[x:y], met[x:y], glance[x:y], group[x:y], first)
-                a += p
-                b += q
-                if split[x]:
-                    at += [x + j for j in leaders]
+def _lead(node: np.ndarray, met: np.ndarray, glance: np.ndarray) -> tuple[list, list, int]:
+    """Links of a bucket's nodes to its leader, the one that has met most nodes; and the leader's place."""
+    order = np.lexsort((node, -met))
+    leader, rest = order[0], order[1:]
+    near = rest[(glance[rest] == glance[leader]).mean(1) >= GLANCE_LEAST]
+    return node[near].tolist(), [node[leader]] * len(near), leader
+
+
+def _glances(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("glance").to_pylist()), "<u2").reshape(table.num_rows, -1)
+
+
+def _places(table: pa.Table) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that share a bucket and a part."""
+    bucket, part = table.column("bucket").to_numpy(), table.column("part").to_numpy()
+    edge = np.flatnonzero((bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])) + 1
+    return zip([0, *edge], [*edge, len(bucket)], strict=True)
+
+
+def _meet(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Links of each bucket's nodes to its leader; leaders of split buckets come out as well, to meet each other."""
+    names = ["a", "b", "bucket", "glance", "met"]
+    bucket, node, met = (table.column(c).to_numpy() for c in ("bucket", "node", "met"))
+    split = table.column("split").to_numpy(zero_copy_only=False)
+    glance = _glances(table)
+    a, b, at = [], [], []
+    for x, y in _places(table):
+        p, q, leader = _lead(node[x:y], met[x:y], glance[x:y])
+        a += p
+        b += q
+        if split[x]:
+            at.append(x + leader)
+    if a:
+        n = len(a)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], names)
+    if at:
+        yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.nulls(len(at), pa.int64()), pa.array(bucket[at]), pa.array([glance[j].tobytes() for j in at], pa.binary()), pa.array(met[at])], names)
+
+
+def _cross(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Links of the nodes that lead in a place to all that follow there and look alike, but for nodes of their own group."""
+    node, group = table.column("node").to_numpy(), table.column("grp").to_numpy()
+    lead, follow = (table.column(c).to_numpy(zero_copy_only=False) for c in ("lead", "follow"))
+    glance = _glances(table)
+    for x, y in _places(table):
+        a, b = [], []
+        behind = x + np.flatnonzero(follow[x:y])
+        others, theirs = glance[behind], group[behind]
+        for leader in x + np.flatnonzero(lead[x:y]):
+            near = behind[((others == glance[leader]).mean(1) >= GLANCE_LEAST) & (theirs != group[leader])]
+            a += node[near].tolist()
+            b += [node[leader]] * len(near)
         if a:
-            n = len(a)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
-        if at:
-            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.nulls(len(at), pa.int64()), pa.array(bucket[at]), pa.array([blobs[j].as_py() for j in at], pa.binary()), pa.array(group[at]), pa.array(met[at])], names)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _in_places(settle):
+    """``settle`` on a sorted partition's rows, whole places at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -195,19 +207,43 @@ def buckets(nodes: DataFrame) -> DataFrame:
     return materialize(shared.drop("n").join(glances.join(most, "node"), "node"), "buckets")
 
 
-def candidate_links(met: DataFrame, first: bool) -> DataFrame:
-    """Links (a, b) of nodes that meet in a bucket, look alike at a glance and differ in ``grp``."""
-    schema = "a long, b long, bucket long, glance binary, grp long, met long"
+def _once(links: DataFrame) -> DataFrame:
+    return links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def leading_links(met: DataFrame) -> DataFrame:
+    """Links (a, b) of the nodes of each bucket to the one that leads it, if they look alike at a glance."""
 
     def deal(rows: DataFrame) -> DataFrame:
-        rows = rows.select("bucket", "part", "node", "split", "glance", "grp", "met")
-        return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_meet(first), schema)
+        rows = rows.select("bucket", "part", "node", "split", "glance", "met")
+        return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_in_places(_meet), "a long, b long, bucket long, glance binary, met long")
 
     found = materialize(deal(met), "links")
     # leaders of the parts of large buckets meet once more, in one place for each bucket
-    leaders = found.where("bucket is not null").select("bucket", F.lit(0).alias("part"), F.col("a").alias("node"), F.lit(False).alias("split"), "glance", "grp", "met")
-    links = found.where("b is not null").select("a", "b").unionByName(deal(leaders).where("b is not null").select("a", "b"))
-    return links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    leaders = found.where("bucket is not null").select("bucket", F.lit(0).alias("part"), F.col("a").alias("node"), F.lit(False).alias("split"), "glance", "met")
+    return _once(found.where("b is not null").select("a", "b").unionByName(deal(leaders).where("b is not null").select("a", "b")))
+
+
+def cross_links(met: DataFrame) -> DataFrame:
+    """All links (a, b) of nodes that share a bucket, look alike at a glance and differ in ``grp``.
+
+    Nodes outside a bucket's largest group lead, so any two of different groups have a leader among them. A large
+    bucket's followers and leaders are dealt by hashes into places of about ``PART`` each; every leader comes to
+    every part of the followers.
+    """
+    sizes = met.groupBy("bucket", "grp").agg(F.count("*").alias("n"))
+    whole = sizes.groupBy("bucket").agg(F.max(F.struct("n", "grp")).alias("most"), F.sum("n").alias("n"))
+    parts = lambda n: F.ceil(n / PART).cast("int")
+    mixed = whole.where("n > most.n").select("bucket", F.col("most.grp").alias("largest"), parts(F.col("n")).alias("p"), parts(F.col("n") - F.col("most.n")).alias("q"))
+    dealt = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "node"), F.col(n)).cast("int")
+    rows = met.join(mixed, "bucket").select("bucket", "node", "glance", "grp", (F.col("grp") != F.col("largest")).alias("minor"), "p", "q", dealt(5, "p").alias("i"), dealt(7, "q").alias("j"))
+    place = (F.col("x") * F.col("q")).cast("int")
+    followers = rows.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("q") - 1)))
+    followers = followers.select("bucket", (F.col("i") * F.col("q") + F.col("x")).alias("part"), "node", "glance", "grp", (F.col("minor") & (F.col("x") == F.col("j"))).alias("lead"), F.lit(True).alias("follow"))
+    leaders = rows.where("minor and p > 1").withColumn("x", F.explode(F.sequence(F.lit(0), F.col("p") - 1))).where("x <> i")
+    leaders = leaders.select("bucket", (place + F.col("j")).alias("part"), "node", "glance", "grp", F.lit(True).alias("lead"), F.lit(False).alias("follow"))
+    places = followers.unionByName(leaders).repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+    return _once(places.mapInArrow(_in_places(_cross), "a long, b long"))
 
 
 def weigh(links: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
@@ -280,7 +316,7 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     nodes = materialize(nodes, "nodes")
     # links to one node of each bucket connect most groups; after that only links between groups count
     met = buckets(nodes)
-    weighed = weigh(candidate_links(met.withColumn("grp", F.col("node")), True), nodes, least)
+    weighed = weigh(leading_links(met), nodes, least)
     sure = F.col("share") >= least + CLEAR
     linked = weighed.where(sure).select("a", "b")
     between = lambda rows, found: _between(rows.where(~sure), found)
@@ -289,8 +325,7 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     linked = linked.unionByName(_settled(docs, tried, id_column, text_column, least))
     found = components(linked)
     grouped = met.join(found, "node", "left").withColumn("grp", F.coalesce("component", "node")).drop("component")
-    mixed = grouped.groupBy("bucket").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x < y").select("bucket")
-    rest = weigh(candidate_links(grouped.join(mixed, "bucket", "left_semi"), False), nodes, least)
+    rest = weigh(cross_links(grouped), nodes, least)
     linked = materialize(linked.unionByName(rest.where(sure).select("a", "b")), "linked")
     tried = between(weighed.unionByName(rest), components(linked)).select("a", "b").distinct()
     found = components(linked.unionByName(_settled(docs, tried, id_column, text_column, least)))

@@ -108,3 +108,28 @@ def test_components_of_paths_stars_and_loops(spark):
 def test_jaccard_of_short_texts(n):
     text = " ".join("abcdefg"[:n])
     assert minhash.jaccard(text, text) == (1.0 if n else 0.0)
+
+
+def test_a_text_near_its_leader_keeps_its_own_links(spark):
+    # L~X 0.98 and X~Y 0.80 are links, L~Y 0.786 is none
+    rng, rows = random.Random(8), []
+    for k in range(80):
+        texts = [[f"{rng.randrange(1 << 40):x}" for _ in range(1004)]]
+        for places in ((100, 200), range(300, 740, 20)):
+            edited = list(texts[-1])
+            for p in places:
+                edited[p] = f"own{p}"
+            texts.append(edited)
+        rows += [(3 * k + j, " ".join(t)) for j, t in enumerate(texts)]
+    a, b, c = (t for _, t in rows[:3])
+    assert minhash.jaccard(a, b) > 0.979 and 0.8 <= minhash.jaccard(b, c) < 0.81 and minhash.jaccard(a, c) < 0.79
+    found = {r.doc_id: r.class_id for r in minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[i] == i // 3 * 3 for i in found)
+
+
+def test_all_pairs_of_split_buckets_meet(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "PART", 3)
+    rows = [(9, n, bytes(2 * minhash.GLANCE), n % 4 if n > 6 else 0) for n in range(20)]
+    found = minhash.cross_links(spark.createDataFrame(rows, "bucket long, node long, glance binary, grp long")).collect()
+    group = {n: g for _, n, _, g in rows}
+    assert {(r.a, r.b) for r in found} == {(a, b) for a in group for b in group if a > b and group[a] != group[b]}
