@@ -20,8 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuskb.llm import words
 from corpuskb.llm.components import components
@@ -82,12 +84,36 @@ def signatures(elements: np.ndarray, row: np.ndarray, n_rows: int, k: int = K) -
     return out
 
 
+def _digests(hashes: np.ndarray, cut: np.ndarray) -> list[bytes]:
+    """A name of each row's words from their hashes; ``cut`` are the rows' ends among them."""
+    return [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+
+def _with_digest(rows: DataFrame, text_column: str) -> DataFrame:
+    """The rows with a last column ``_digest``."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("_digest", T.BinaryType())])
+    place = rows.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = words.column_bytes(batch.column(place))
+            found = []
+            for a, b in words.blocks(offsets):
+                piece, off = raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                start, end, row = words.spans(piece, off)
+                found += _digests(words.span_hashes(piece, start, end), np.searchsorted(row, np.arange(b - a + 1)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, "_digest"])
+
+    return rows.mapInArrow(run, schema)
+
+
 def sign(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Every row's id and digest of its words; the first of each digest in a task also has a signature."""
+    """Every row's number, id and digest of its words; the first of each digest in a task also has a signature."""
     kind = dict(docs.dtypes)[id_column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
+        number_of_row = TaskContext.get().partitionId() << 40
         for batch in batches:
             raw, offsets = words.column_bytes(batch.column(1))
             for a, b in words.blocks(offsets):
@@ -95,7 +121,7 @@ def sign(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                 start, end, row = words.spans(piece, off)
                 hashes = words.span_hashes(piece, start, end)
                 cut = np.searchsorted(row, np.arange(b - a + 1))
-                digests = [hashlib.blake2b(hashes[cut[j] : cut[j + 1]].tobytes(), digest_size=16).digest() for j in range(b - a)]
+                digests = _digests(hashes, cut)
                 fresh = np.zeros(b - a, bool)
                 for j, d in enumerate(digests):
                     if d not in seen and cut[j + 1] > cut[j]:
@@ -107,10 +133,12 @@ def sign(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                 grams, r = words.shingles(hashes[keep], number[row[keep]], int(fresh.sum()), SHINGLE)
                 signed = signatures(_elements(grams, r), r, int(fresh.sum()))
                 blobs = [signed[number[j]].tobytes() if fresh[j] else None for j in range(b - a)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(digests, pa.binary()), pa.array(blobs, pa.binary())], ["key", "digest", "signature"])
+                numbers = np.arange(number_of_row, number_of_row + b - a)
+                number_of_row += b - a
+                yield pa.RecordBatch.from_arrays([pa.array(numbers), batch.column(0).slice(a, b - a), pa.array(digests, pa.binary()), pa.array(blobs, pa.binary())], ["row", "key", "digest", "signature"])
 
     chosen = docs.select(F.col(id_column).alias("key"), F.col(text_column).cast("string").alias("text"))
-    return chosen.mapInArrow(run, f"key {kind}, digest binary, signature binary")
+    return chosen.mapInArrow(run, f"row long, key {kind}, digest binary, signature binary")
 
 
 def _lead(node: np.ndarray, met: np.ndarray, glance: np.ndarray) -> tuple[list, list, int]:
@@ -281,10 +309,21 @@ def _settle(least: float):
     return run
 
 
-def _texts(docs: DataFrame, ids: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(node, text) of the wanted ids, which are broadcast if they are few."""
-    found = docs.select(F.col(id_column).cast("long").alias("node"), F.col(text_column).cast("string").alias("text"))
-    return found.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "node", "left_semi").dropDuplicates(["node"])
+def _few(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows
+
+
+def _with_keys(docs: DataFrame, keys: DataFrame, id_column: str) -> DataFrame:
+    """The rows whose id is one of ``keys``, null among them."""
+    keys = keys.select(F.col("key").alias("_key")).distinct()
+    return docs.join(_few(keys), docs[id_column].eqNullSafe(F.col("_key")), "left_semi")
+
+
+def _texts(docs: DataFrame, ids: DataFrame, nodes: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(node, text) of the wanted nodes; of the rows with their ids only those of the same words count."""
+    wanted = materialize(nodes.join(ids, "node", "left_semi").select("node", "key", F.col("digest").alias("_digest")), "wanted")
+    rows = docs.select(F.col(id_column).alias("key"), F.col(text_column).cast("string").alias("text"))
+    return _with_digest(_with_keys(rows, wanted, "key"), "text").join(_few(wanted.select("node", "_digest")), "_digest").select("node", "text").dropDuplicates(["node"])
 
 
 def _between(links: DataFrame, found: DataFrame) -> DataFrame:
@@ -294,25 +333,19 @@ def _between(links: DataFrame, found: DataFrame) -> DataFrame:
     return out.where("of_a is null or of_b is null or of_a <> of_b").select("a", "b", "share")
 
 
-def _settled(docs: DataFrame, links: DataFrame, id_column: str, text_column: str, least: float) -> DataFrame:
+def _settled(docs: DataFrame, links: DataFrame, nodes: DataFrame, id_column: str, text_column: str, least: float) -> DataFrame:
     """The links whose texts' shingles are alike enough."""
     links = materialize(links, "unclear")
     wanted = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    texts = _texts(docs, wanted, id_column, text_column)
+    texts = _texts(docs, wanted, nodes, id_column, text_column)
     read = links.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
     return materialize(read.select("a", "b", "x", "y").mapInArrow(_settle(least), "a long, b long"), "settled")
 
 
-def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = 0.8) -> DataFrame:
-    """One row per input row: its id, ``class_id`` (the least id of its class) and whether it is that one.
-
-    Classes are the components of links between texts whose shingles have a weighted Jaccard similarity of
-    ``least`` or more. Texts of fewer than five words have one shingle of all of them, so they are alike only if
-    equal; texts without words, null among them, are one class. Rows of one id count as one document, and a
-    class whose ids are all null is named by a hash. An empty table gives no rows; other columns are ignored.
-    """
+def _classified(docs: DataFrame, id_column: str, text_column: str, least: float) -> DataFrame:
+    """(key, digest, class_id, kept) of every row; rows are told apart by number, texts by digest, never by id."""
     signed = materialize(sign(docs, id_column, text_column), "signatures")
-    nodes = signed.groupBy("digest").agg(F.coalesce(F.min("key").cast("long"), F.xxhash64("digest")).alias("node"), F.first("signature", ignorenulls=True).alias("signature"))
+    nodes = signed.groupBy("digest").agg(F.xxhash64("digest").alias("node"), F.min("key").alias("key"), F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "digest", "row")).alias("first"), F.first("signature", ignorenulls=True).alias("signature"))
     nodes = materialize(nodes, "nodes")
     # links to one node of each bucket connect most groups; after that only links between groups count
     met = buckets(nodes)
@@ -322,18 +355,44 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     between = lambda rows, found: _between(rows.where(~sure), found)
     best = F.slice(F.sort_array(F.collect_list(F.struct("share", "b")), False), 1, TRIED)
     tried = between(weighed, components(linked)).groupBy("a").agg(F.explode(best).alias("x")).select("a", "x.b")
-    linked = linked.unionByName(_settled(docs, tried, id_column, text_column, least))
+    linked = linked.unionByName(_settled(docs, tried, nodes, id_column, text_column, least))
     found = components(linked)
     grouped = met.join(found, "node", "left").withColumn("grp", F.coalesce("component", "node")).drop("component")
     rest = weigh(cross_links(grouped), nodes, least)
     linked = materialize(linked.unionByName(rest.where(sure).select("a", "b")), "linked")
     tried = between(weighed.unionByName(rest), components(linked)).select("a", "b").distinct()
-    found = components(linked.unionByName(_settled(docs, tried, id_column, text_column, least)))
-    named = nodes.select("digest", "node").join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("class_id"))
-    return signed.select("key", "digest").join(named, "digest").select(F.col("key").alias(id_column), "class_id", (F.col("key").eqNullSafe(F.col("class_id"))).alias("kept"))
+    found = components(linked.unionByName(_settled(docs, tried, nodes, id_column, text_column, least)))
+    owned = nodes.join(found, "node", "left").select("digest", "first", F.coalesce("component", "node").alias("cls"))
+    named = owned.groupBy("cls").agg(F.min("first").alias("head"))
+    headed = owned.join(named, "cls").select("digest", F.coalesce(F.col("head.key").cast("long"), "cls").alias("class_id"), F.col("head.row").alias("head"))
+    return signed.select("row", "key", "digest").join(headed, "digest").select("key", "digest", "class_id", (F.col("row") == F.col("head")).alias("kept"))
+
+
+def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = 0.8) -> DataFrame:
+    """One row per input row: its id, ``class_id`` (the least id of its class) and whether it is the one row kept of it.
+
+    Classes are the components of links between texts whose shingles have a weighted Jaccard similarity of
+    ``least`` or more. Texts of fewer than five words have one shingle of all of them, so they are alike only if
+    equal; texts without words, null among them, are one class. Texts are told apart by
+    their words, whatever their ids; a class whose ids are all null is named by a hash. An empty table gives no rows; other columns are ignored.
+    """
+    return _classified(docs, id_column, text_column, least).select(F.col("key").alias(id_column), "class_id", "kept")
 
 
 def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = 0.8) -> DataFrame:
-    """The rows of one document of each class, all columns kept: the one with the least id."""
-    gone = materialize(classes(docs, id_column, text_column, least).where(~F.col("kept")).select(id_column).where(F.col(id_column).isNotNull()).distinct(), "gone")
-    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, id_column, "left_anti").select(*docs.columns)
+    """One row of each class, all columns kept: one with the least id.
+
+    An id of one row is enough to drop it; rows with null or repeated ids are told apart by their words as well.
+    """
+    rows = materialize(_classified(docs, id_column, text_column, least), "classified")
+    doubtful = materialize(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1 or key is null").select("key"), "doubtful")
+    gone = rows.where("not kept and key is not null").select(F.col("key").alias(id_column)).unionByName(doubtful.where("key is not null").select(F.col("key").alias(id_column))).distinct()
+    gone = materialize(gone, "gone")
+    plain = docs.where(F.col(id_column).isNotNull()).join(_few(gone), id_column, "left_anti").select(*docs.columns)
+    if doubtful.isEmpty():
+        return plain
+    stay = _with_keys(rows.where("kept"), doubtful, "key").select(F.col("key").alias("_key"), F.col("digest").alias("_named"))
+    text = F.col(text_column).cast("string")
+    named = _with_digest(_with_keys(docs, doubtful, id_column).withColumn("_text", text), "_text")
+    held = named.join(_few(stay), F.col(id_column).eqNullSafe(F.col("_key")) & (F.col("_digest") == F.col("_named")), "left_semi")
+    return plain.unionByName(held.dropDuplicates([id_column, "_digest"]).select(*docs.columns))

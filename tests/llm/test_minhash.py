@@ -133,3 +133,13 @@ def test_all_pairs_of_split_buckets_meet(spark, monkeypatch):
     found = minhash.cross_links(spark.createDataFrame(rows, "bucket long, node long, glance binary, grp long")).collect()
     group = {n: g for _, n, _, g in rows}
     assert {(r.a, r.b) for r in found} == {(a, b) for a in group for b in group if a > b and group[a] != group[b]}
+
+
+def test_one_row_of_each_class_stays_whatever_the_ids(spark):
+    text = lambda name, own="": " ".join(f"{name}{k}" for k in range(300)) + own
+    rows = [(5, text("a")), (5, text("a")), (None, text("b")), (None, text("b")), (None, text("c")), (None, text("c", " end")), (1, text("d")), (7, text("d", " end")), (7, text("e")), (None, text("f")), (9, text("f", " end"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [(r.doc_id, r.text) for r in minhash.drop_near_copies(df).collect()]
+    assert sorted(t[0] for _, t in left) == list("abcdef")
+    assert {(5, text("a")), (None, text("b")), (1, text("d")), (7, text("e")), (9, text("f", " end"))} < set(left)
+    assert sum(r.kept for r in minhash.classes(df).collect()) == 6
