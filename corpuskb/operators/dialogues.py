@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuskb.functions.text import norm_text, text_hash12
 
@@ -39,6 +40,18 @@ def exact_first(pairs: DataFrame) -> DataFrame:
     return keyed.groupBy("pair_hash").agg(F.min(F.struct("conv_id", "turn", *columns)).alias("x"), F.count("*").alias("n_copies")).select("x.*", "pair_hash", "n_copies")
 
 
+def _near(value: str, kept: list[str], ratio: float) -> bool:
+    """Whether a text is too like one of those kept; difflib's ratio depends on the order, the kept text comes first."""
+    match = difflib.SequenceMatcher(None, "", value)
+    for old in kept:
+        if abs(len(value) - len(old)) <= 0.3 * len(value):
+            match.set_seq1(old)
+            # the quick ratios are upper bounds
+            if match.real_quick_ratio() > ratio and match.quick_ratio() > ratio and match.ratio() > ratio:
+                return True
+    return False
+
+
 def fuzzy_first(pairs: DataFrame, group: str, text: str, order: list[str], window: int = 200, ratio: float = 0.85) -> DataFrame:
     """Greedy first-wins near deduplication within each group, in order: a text goes if it is too like one of the last ``window`` kept.
 
@@ -54,7 +67,7 @@ def fuzzy_first(pairs: DataFrame, group: str, text: str, order: list[str], windo
             for key, value in zip(frame[group], frame[text].fillna(""), strict=True):
                 if here is None or key != here:
                     here, kept = key, []
-                close = any(abs(len(value) - len(old)) <= 0.3 * max(len(value), 1) and difflib.SequenceMatcher(None, value, old).ratio() > ratio for old in kept)
+                close = _near(value, kept, ratio)
                 keep.append(not close)
                 if not close:
                     kept = [*kept[-window + 1 :], value]
@@ -63,6 +76,64 @@ def fuzzy_first(pairs: DataFrame, group: str, text: str, order: list[str], windo
     return ordered.mapInPandas(run, ordered.schema)
 
 
+def fuzzy_first_overall(pairs: DataFrame, text: str, order: list[str], window: int = 200, ratio: float = 0.85, parts: int | None = None) -> DataFrame:
+    """Greedy first-wins near deduplication over all rows in order: a text goes if it is too like one of the last ``window`` kept.
+
+    Ranges of the order are judged apart, each after the texts that its predecessor last kept. Those are not known
+    at first, so ranges whose predecessor's last texts have changed are judged again until none has: the result
+    is that of one pass. Only a range's window is held. Null texts are empty.
+    """
+    ranged = pairs.repartitionByRange(parts, *order) if parts else pairs.repartitionByRange(*order)
+    dealt = ranged.select("*", F.spark_partition_id().alias("_part")).localCheckpoint()
+    lasts = pairs.sparkSession.createDataFrame([], f"_part int, _pos int, {text} string")
+    fields = T.StructType([*dealt.schema.fields, T.StructField("_pos", T.IntegerType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        here, kept = None, []
+
+        def last() -> pd.DataFrame:
+            return pd.DataFrame({"_part": here, "_pos": range(len(kept)), text: kept}).reindex(columns=fields.names).astype({c: object for c in fields.names if c not in ("_part", "_pos", text)})
+
+        for frame in batches:
+            keep = []
+            for part, guest, value in zip(frame["_part"], frame["_pos"] >= 0, frame[text].fillna(""), strict=True):
+                if part != here:
+                    if here is not None:
+                        yield last()
+                    here, kept = part, []
+                stays = guest or not _near(value, kept, ratio)
+                keep.append(stays and not guest)
+                if stays:
+                    kept = [*kept[-window + 1 :], value]
+            yield frame[keep].assign(_pos=-1)
+        if here is not None:
+            yield last()
+
+    filled = sorted(r["_part"] for r in dealt.select("_part").distinct().collect())
+    after = dict(zip(filled, filled[1:], strict=False))
+    stale, judged, ends = set(filled), {}, {}
+    while stale:
+        # a range's last texts are the next one's guests
+        own = dealt.where(F.col("_part").isin(*stale)).withColumn("_pos", F.lit(-1))
+        rows = own.unionByName(lasts.where(F.col("_part").isin(*stale)), allowMissingColumns=True).withColumn("_own", F.col("_pos") < 0)
+        found = rows.repartition("_part").sortWithinPartitions("_part", "_own", "_pos", *order).select(*fields.names).mapInPandas(run, fields).localCheckpoint()
+        judged |= {p: found for p in stale}
+        ended = {r["_part"]: r["h"] for r in found.where("_pos >= 0").groupBy("_part").agg(F.md5(F.to_json(F.sort_array(F.collect_list(F.struct("_pos", text))))).alias("h")).collect()}
+        changed = {p for p in ended if ended[p] != ends.get(p)}
+        ends |= ended
+        stale = {after[p] for p in changed if p in after}
+        # at most ``window`` texts of each range
+        for p in changed & after.keys():
+            mine = found.where((F.col("_pos") >= 0) & (F.col("_part") == p)).select(F.lit(after[p]).alias("_part"), "_pos", text)
+            lasts = lasts.where(F.col("_part") != after[p]).unionByName(mine)
+        lasts = lasts.localCheckpoint()
+    out = dealt.where("false").drop("_part")
+    for found in {id(f): f for f in judged.values()}.values():
+        mine = [p for p, f in judged.items() if f is found]
+        out = out.unionByName(found.where((F.col("_pos") < 0) & F.col("_part").isin(*mine)).select(*out.columns))
+    return out
+
+
 def direct_speech(lines: DataFrame) -> DataFrame:
     """Lines of speech from (book, line_num, line): those that begin with a dash, without it, five characters at least, with the line before."""
     before = F.lag("line").over(W.partitionBy("book").orderBy("line_num"))

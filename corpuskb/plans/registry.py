@@ -98,8 +98,8 @@ def exact_pair_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fuzzy_pair_dedup")
 def fuzzy_pair_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near copies among each conversation's answers; difflib's ratio has no SQL form."""
-    return dialogues.fuzzy_first(exact_pair_dedup(spark, sf_dir), "conv_id", "answer", ["turn"]).select("conv_id", "turn", "pair_hash")
+    """Near copies among all answers in order; difflib's ratio has no SQL form."""
+    return dialogues.fuzzy_first_overall(exact_pair_dedup(spark, sf_dir), "answer", ["conv_id", "turn"]).select("conv_id", "turn", "pair_hash")
 
 
 @query(

@@ -2,6 +2,8 @@
 
 import datetime
 import difflib
+import itertools
+import random
 import zipfile
 
 from pyspark.sql import functions as F
@@ -39,6 +41,33 @@ def test_fuzzy_pairs_keep_the_first(spark):
     assert sorted((r["g"], r["k"]) for r in found.collect()) == sorted((g, k) for g in ("a", "b") for k, _ in kept)
 
 
+def test_fuzzy_pairs_across_conversations(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcde ") for _ in range(40)) for _ in range(8)]
+    rows = []
+    for k in range(90):
+        t = list(rng.choice(texts))
+        for _ in range(rng.randrange(6)):
+            t[rng.randrange(len(t))] = rng.choice("abcde ")
+        rows.append((k // 4, k % 4, rng.choice([None, "", "".join(t), "".join(t), "".join(t), "".join(t)])))
+    kept, want = [], []
+    for c, k, t in rows:
+        t = t or ""
+        if not any(abs(len(o) - len(t)) <= 0.3 * len(t) and difflib.SequenceMatcher(None, o, t).ratio() > 0.85 for o in kept[-3:]):
+            kept.append(t)
+            want.append((c, k))
+    df = spark.createDataFrame(rows, "conv_id long, turn int, answer string")
+    found = dialogues.fuzzy_first_overall(df, "answer", ["conv_id", "turn"], 3, parts=5)
+    assert sorted((r["conv_id"], r["turn"]) for r in found.collect()) == want
+
+
+def test_fuzzy_ratio_has_the_kept_text_first(spark):
+    old, new = next((a, b) for a in map("".join, itertools.product("abc", repeat=5)) for b in map("".join, itertools.product("abc", repeat=5)) if difflib.SequenceMatcher(None, a, b).ratio() > difflib.SequenceMatcher(None, b, a).ratio())
+    least = difflib.SequenceMatcher(None, new, old).ratio()
+    found = dialogues.fuzzy_first(spark.createDataFrame([("g", 0, old), ("g", 1, new)], "g string, k int, t string"), "g", "t", ["k"], ratio=least)
+    assert [r["k"] for r in found.collect()] == [0]
+
+
 def test_facts_of_different_states_stay(spark):
     rows = [(0, "Лина", "живет в башне у реки", "current"), (1, "Лина", "живет в башне у реки", "past"), (2, "лина", "Живет в башне у реки!", "current"), (3, "Лина", "живет в башне у рек", "unclear"), (4, "Марк", "страж", "unclear")]
     found = knowledge.first_facts(spark.createDataFrame(rows, "ord int, subject string, fact string, scope string"))
