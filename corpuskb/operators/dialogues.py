@@ -86,7 +86,8 @@ def fuzzy_first_overall(pairs: DataFrame, text: str, order: list[str], window: i
     ranged = pairs.repartitionByRange(parts, *order) if parts else pairs.repartitionByRange(*order)
     dealt = ranged.select("*", F.spark_partition_id().alias("_part")).localCheckpoint()
     lasts = pairs.sparkSession.createDataFrame([], f"_part int, _pos int, {text} string")
-    fields = T.StructType([*dealt.schema.fields, T.StructField("_pos", T.IntegerType())])
+    # rows of last texts have no other columns
+    fields = T.StructType([*(T.StructField(f.name, f.dataType) for f in dealt.schema.fields), T.StructField("_pos", T.IntegerType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         here, kept = None, []

@@ -57,6 +57,7 @@ def test_fuzzy_pairs_across_conversations(spark):
             kept.append(t)
             want.append((c, k))
     df = spark.createDataFrame(rows, "conv_id long, turn int, answer string")
+    df = df.withColumn("h", F.md5(F.lit("x")))
     found = dialogues.fuzzy_first_overall(df, "answer", ["conv_id", "turn"], 3, parts=5)
     assert sorted((r["conv_id"], r["turn"]) for r in found.collect()) == want
 
