@@ -13,36 +13,30 @@ from corpuskb.llm import words
 GRAM = 40
 
 
-def prefix_sums(raw: np.ndarray) -> np.ndarray:
-    """Sums from which the hash of any span follows."""
-    up, _ = words.powers(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
-    return sums
+#: Odd factors of the eight-byte pieces of a run.
+_FACTORS = [np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64) | 1) for k in range(1, GRAM // 8 + 1)]
 
 
-def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    _, down = words.powers(len(sums))
-    return words.mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
-
-
-def gram_hashes(sums: np.ndarray, size: int = GRAM) -> np.ndarray:
-    """Hash of the ``size`` bytes from every position that has so many behind it."""
-    _, down = words.powers(len(sums))
-    h = (sums[size:] - sums[:-size]) * down[: len(sums) - size]
+def gram_hashes(raw: np.ndarray) -> np.ndarray:
+    """Hash of the GRAM bytes from every position that has so many behind it."""
+    piece = words.mix(words.chunks(raw)[: len(raw) - 7].copy())
+    n = len(raw) - GRAM + 1
+    h = np.zeros(n, np.uint64)
+    for k, factor in enumerate(_FACTORS):
+        h += piece[8 * k : 8 * k + n] * factor
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
     return h
 
 
-def find(sums: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(hash, anchor position, first window, end of windows) of every anchor of a block of texts with ``sums``."""
+def find(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(hash, anchor position, first window, end of windows) of every anchor of a block of texts."""
     none = np.zeros(0, np.int64)
-    n = len(sums) - length
+    n = len(raw) - length + 1
     if n < 1:
         return np.zeros(0, np.uint64), none, none, none
-    h = gram_hashes(sums)
+    h = gram_hashes(raw)
     width = length - GRAM + 1
     # least of ``width`` neighbours by doubling
     least, span = h, 1

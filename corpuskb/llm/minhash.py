@@ -6,16 +6,17 @@ axis (gaps are exponential); a dart falls on one of the signature's coordinates,
 its earliest dart. Only ranks below about k ln k over the text's weight are thrown, so a long text throws
 no more darts than a short one. Two texts' coordinates agree with their weighted Jaccard similarity.
 
-Equal word sequences are one node. Nodes that agree in all rows of a band meet in a bucket; there each is
-compared, by part of its signature, with leaders. First only one node of each bucket leads, the one that meets most others;
-large buckets are split and their parts' leaders meet. Nodes that its links connect need no further links among each
-other; all others of a bucket are compared with each other in a second round. Links are accepted or refused by whole signatures
-where these are clear; unclear links between different classes are settled by the texts' shingles.
+Equal word sequences are one node. Nodes that agree in all rows of a band meet in a bucket. There a part of their
+signatures is compared, and a spanning forest of all that look alike comes out, so no bucket gives more rows than it has
+nodes. The forests' components are clouds: whoever might be alike is in one cloud. Each node's shingles go to its cloud
+once, where all pairs are compared exactly. Large buckets and clouds are dealt into parts: first the nodes of a part meet,
+then those outside the largest group so found meet all others, in blocks of bounded size.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,15 +33,12 @@ from corpuskb.llm.store import materialize
 SHINGLE = 5
 ROWS, BANDS = 6, 36
 K = ROWS * BANDS
-#: Coordinates that are compared within buckets, and the share below which nodes are no candidates:
-#: at a true similarity of 0.8 that many fewer are over four standard deviations off.
-GLANCE, GLANCE_LEAST = 72, 0.61
-#: Beyond this distance from the threshold a whole signature is clear: over three standard deviations.
-CLEAR = 0.09
-#: Unclear links of a node that are settled first, the likeliest; others only if they join different groups then.
-TRIED = 3
-#: Nodes of a bucket that are compared in one place.
-PART = 1000
+#: Coordinates that are compared within buckets, and the standard deviations below ``least`` up to which nodes look alike.
+GLANCE, DEVIATIONS = 72, 4
+#: Nodes, and shingles of nodes, that are compared in one place.
+PART, SHINGLES = 1000, 1 << 21
+#: Digests that a task remembers, so as not to sign or send copies again.
+SEEN = 200_000
 #: Ids that may be broadcast, a few megabytes; beyond it the same join is shuffled.
 BROADCAST_IDS = 300_000
 
@@ -108,7 +106,7 @@ def _with_digest(rows: DataFrame, text_column: str) -> DataFrame:
 
 
 def sign(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Every row's number, id and digest of its words; the first of each digest in a task also has a signature."""
+    """Every row's number, id and digest of its words; the first of each digest in a task also has a signature and its number of shingles."""
     kind = dict(docs.dtypes)[id_column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,75 +124,161 @@ def sign(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                 for j, d in enumerate(digests):
                     if d not in seen and cut[j + 1] > cut[j]:
                         fresh[j] = True
-                        if len(seen) < 1_000_000:
+                        if len(seen) < SEEN:
                             seen.add(d)
                 number = np.cumsum(fresh) - 1
                 keep = fresh[row]
                 grams, r = words.shingles(hashes[keep], number[row[keep]], int(fresh.sum()), SHINGLE)
                 signed = signatures(_elements(grams, r), r, int(fresh.sum()))
                 blobs = [signed[number[j]].tobytes() if fresh[j] else None for j in range(b - a)]
+                sizes = np.bincount(r, minlength=int(fresh.sum()))
+                weights = [int(sizes[number[j]]) if fresh[j] else None for j in range(b - a)]
                 numbers = np.arange(number_of_row, number_of_row + b - a)
                 number_of_row += b - a
-                yield pa.RecordBatch.from_arrays([pa.array(numbers), batch.column(0).slice(a, b - a), pa.array(digests, pa.binary()), pa.array(blobs, pa.binary())], ["row", "key", "digest", "signature"])
+                yield pa.RecordBatch.from_arrays([pa.array(numbers), batch.column(0).slice(a, b - a), pa.array(digests, pa.binary()), pa.array(blobs, pa.binary()), pa.array(weights, pa.int64())], ["row", "key", "digest", "signature", "shingles"])
 
     chosen = docs.select(F.col(id_column).alias("key"), F.col(text_column).cast("string").alias("text"))
-    return chosen.mapInArrow(run, f"row long, key {kind}, digest binary, signature binary")
+    return chosen.mapInArrow(run, f"row long, key {kind}, digest binary, signature binary, shingles long")
 
 
-def _lead(node: np.ndarray, met: np.ndarray, glance: np.ndarray) -> tuple[list, list, int]:
-    """Links of a bucket's nodes to its leader, the one that has met most nodes; and the leader's place."""
-    order = np.lexsort((node, -met))
-    leader, rest = order[0], order[1:]
-    near = rest[(glance[rest] == glance[leader]).mean(1) >= GLANCE_LEAST]
-    return node[near].tolist(), [node[leader]] * len(near), leader
+def _values(table: pa.Table) -> list[np.ndarray]:
+    """Each row's shingles."""
+    return [np.frombuffer(x, "<u8") for x in table.column("payload").to_pylist()]
 
 
 def _glances(table: pa.Table) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column("glance").to_pylist()), "<u2").reshape(table.num_rows, -1)
+    return np.frombuffer(b"".join(table.column("payload").to_pylist()), "<u2").reshape(table.num_rows, -1)
 
 
-def _places(table: pa.Table) -> Iterator[tuple[int, int]]:
+def _places(table: pa.Table) -> list[tuple[int, int]]:
     """Ranges of rows that share a bucket and a part."""
     bucket, part = table.column("bucket").to_numpy(), table.column("part").to_numpy()
     edge = np.flatnonzero((bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])) + 1
-    return zip([0, *edge], [*edge, len(bucket)], strict=True)
-
-
-def _meet(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Links of each bucket's nodes to its leader; leaders of split buckets come out as well, to meet each other."""
-    names = ["a", "b", "bucket", "glance", "met"]
-    bucket, node, met = (table.column(c).to_numpy() for c in ("bucket", "node", "met"))
-    split = table.column("split").to_numpy(zero_copy_only=False)
-    glance = _glances(table)
-    a, b, at = [], [], []
-    for x, y in _places(table):
-        p, q, leader = _lead(node[x:y], met[x:y], glance[x:y])
-        a += p
-        b += q
-        if split[x]:
-            at.append(x + leader)
-    if a:
-        n = len(a)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], names)
-    if at:
-        yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.nulls(len(at), pa.int64()), pa.array(bucket[at]), pa.array([glance[j].tobytes() for j in at], pa.binary()), pa.array(met[at])], names)
-
-
-def _cross(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Links of the nodes that lead in a place to all that follow there and look alike, but for nodes of their own group."""
-    node, group = table.column("node").to_numpy(), table.column("grp").to_numpy()
-    lead, follow = (table.column(c).to_numpy(zero_copy_only=False) for c in ("lead", "follow"))
-    glance = _glances(table)
-    for x, y in _places(table):
+    return list(zip([0, *edge.tolist()], [*edge.tolist(), len(bucket)], strict=True))
+
+
+def _forest(near, n: int) -> list[tuple[int, int]]:
+    """A spanning forest (parent, child) of n nodes; ``near(some, others)`` tells which of the others are near which of some."""
+    left, out = np.arange(n), []
+    while len(left):
+        front, left = left[:1], left[1:]
+        while len(front) and len(left):
+            some, front = front[:64], front[64:]
+            met = near(some, left)
+            hit = met.any(0)
+            out += zip(some[met[:, hit].argmax(0)].tolist(), left[hit].tolist(), strict=True)
+            front, left = np.concatenate([front, left[hit]]), left[~hit]
+    return out
+
+
+def _glance_least(least: float) -> float:
+    return least - DEVIATIONS * math.sqrt(least * (1 - least) / GLANCE)
+
+
+def _look(least: float):
+    """Forests of each place's nodes that look alike at a glance."""
+    least = _glance_least(least)
+
+    def settle(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, glance, places = table.column("node").to_numpy(), _glances(table), _places(table)
+        begin = np.array([x for x, _ in places])
+        size = np.array([y - x for x, y in places])
+        first = np.repeat(begin, size)
+        # all that look like their place's first node are done; only places with others go on one by one
+        plain = (glance == glance[first]).mean(1) >= least
+        whole = np.repeat(np.logical_and.reduceat(plain, begin), size)
+        at = np.flatnonzero(whole & (first != np.arange(len(node))))
+        a, b = [node[at]], [node[first[at]]]
+        for x, y in places:
+            if not whole[x]:
+                g = glance[x:y]
+                pairs = _forest(lambda some, left, g=g: (g[some][:, None] == g[left][None]).mean(2) >= least, y - x)
+                a.append(node[[x + i for _, i in pairs]] if pairs else node[:0])
+                b.append(node[[x + i for i, _ in pairs]] if pairs else node[:0])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    return settle
+
+
+def shared_counts(some: list[np.ndarray], others: list[np.ndarray] | None = None) -> np.ndarray:
+    """How many shingles each of some has in common with each of the others (with each other, if None)."""
+    every = some + (others or [])
+    owner = np.repeat(np.arange(len(every)), [len(e) for e in every])
+    distinct, column, count = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1
+    keep = count[column] > 1
+    owner, column = owner[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(some), len(others or some)), np.float32)
+    width = max(64, (1 << 22) // len(every))
+    for a in range(0, int((count > 1).sum()), width):
+        x, y = np.searchsorted(column, [a, a + width])
+        dense = np.zeros((len(every), width), np.float32)
+        dense[owner[x:y], column[x:y] - a] = 1
+        out += dense[: len(some)] @ (dense[len(some) :] if others is not None else dense).T
+    return out
+
+
+def jaccard(a: str, b: str) -> float:
+    """Weighted Jaccard similarity of two texts' shingles."""
+    found = []
+    for text in (a, b):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        start, end, row = words.spans(raw, np.array([0, len(raw)]))
+        found.append(_elements(*words.shingles(words.span_hashes(raw, start, end), row, 1, SHINGLE)))
+    shared = int(shared_counts(found)[0, 1])
+    return shared / max(1, sum(map(len, found)) - shared)
+
+
+def _similar(some: list[np.ndarray], others: list[np.ndarray] | None, least: float) -> np.ndarray:
+    shared = shared_counts(some, others).astype(np.float64)
+    size = lambda v: np.array([len(e) for e in v], np.float64)
+    return shared / np.maximum(size(some)[:, None] + size(some if others is None else others)[None] - shared, 1) >= least
+
+
+def _compare(least: float):
+    """Forests of each place's nodes whose shingles are alike enough; every node comes out, alone with itself."""
+
+    def settle(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, values, a, b = table.column("node").to_numpy(), _values(table), [], []
+        for x, y in _places(table):
+            # a node may come more than once
+            at = x + np.unique(node[x:y], return_index=True)[1]
+            alike = _similar([values[k] for k in at], None, least) if len(at) > 1 else np.ones((1, 1), bool)
+            head = np.arange(len(at))
+            for parent, child in _forest(lambda some, left, alike=alike: alike[np.ix_(some, left)], len(at)):
+                head[child] = head[parent]
+            a += node[at].tolist()
+            b += node[at[head]].tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return settle
+
+
+def _cross(near, payloads):
+    """Links of nodes that lead in a place to those that follow there, of other groups: no more than connect the groups."""
+
+    def settle(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, group = table.column("node").to_numpy(), table.column("grp").to_numpy()
+        lead, follow = (table.column(c).to_numpy(zero_copy_only=False) for c in ("lead", "follow"))
+        payload = payloads(table)
         a, b = [], []
-        behind = x + np.flatnonzero(follow[x:y])
-        others, theirs = glance[behind], group[behind]
-        for leader in x + np.flatnonzero(lead[x:y]):
-            near = behind[((others == glance[leader]).mean(1) >= GLANCE_LEAST) & (theirs != group[leader])]
-            a += node[near].tolist()
-            b += [node[leader]] * len(near)
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        for x, y in _places(table):
+            ahead, behind = np.flatnonzero(lead[x:y]), np.flatnonzero(follow[x:y])
+            if not len(ahead) or not len(behind):
+                continue
+            _, first, number = np.unique(group[x:y], return_index=True, return_inverse=True)
+            met = np.zeros((len(first), len(first)), bool)
+            i, j = np.nonzero(near([payload[x + k] for k in ahead], [payload[x + k] for k in behind]))
+            met[number[ahead[i]], number[behind[j]]] = True
+            met |= met.T
+            for p, q in _forest(lambda some, left, met=met: met[np.ix_(some, left)], len(first)):
+                a.append(node[x + first[p]])
+                b.append(node[x + first[q]])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return settle
 
 
 def _in_places(settle):
@@ -206,11 +290,11 @@ def _in_places(settle):
             if not batch.num_rows:
                 continue
             held.append(batch)
-            if sum(x.num_rows for x in held) < 20_000:
+            if sum(x.num_rows for x in held) < 20_000 and sum(x.nbytes for x in held) < 8 << 20:
                 continue
             table = pa.Table.from_batches(held).combine_chunks()
             bucket, part = table.column("bucket").to_numpy(), table.column("part").to_numpy()
-            # the last bucket may go on in the next batch
+            # the last place may go on in the next batch
             last = np.flatnonzero((bucket != bucket[-1]) | (part != part[-1]))
             cut = int(last[-1]) + 1 if len(last) else 0
             if cut:
@@ -222,91 +306,60 @@ def _in_places(settle):
     return run
 
 
+def _settled(rows: DataFrame, settle) -> DataFrame:
+    """Links (a, b) from rows dealt by bucket and part."""
+    dealt = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+    return dealt.mapInArrow(_in_places(settle), "a long, b long")
+
+
 def buckets(nodes: DataFrame) -> DataFrame:
     """Nodes that share a bucket with others, one row for each such bucket; large buckets are split into parts."""
     bands = F.array(*(F.xxhash64(F.lit(b), F.substring("signature", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(BANDS)))
     members = nodes.where(F.col("signature").isNotNull()).select("node", F.explode(bands).alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    glances = nodes.select("node", F.substring("signature", 1, 2 * GLANCE).alias("glance"))
-    parts = F.ceil(F.col("n") / PART)
-    shared = members.join(sizes, "bucket").select("bucket", "node", F.when(F.col("n") > PART, F.pmod(F.xxhash64(F.lit(5), "node"), parts)).otherwise(0).cast("int").alias("part"), (F.col("n") > PART).alias("split"), "n")
-    # the text that many copies were made from meets more of them than any copy does
-    most = shared.groupBy("node").agg(F.sum("n").alias("met"))
-    return materialize(shared.drop("n").join(glances.join(most, "node"), "node"), "buckets")
-
-
-def _once(links: DataFrame) -> DataFrame:
-    return links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
-
-def leading_links(met: DataFrame) -> DataFrame:
-    """Links (a, b) of the nodes of each bucket to the one that leads it, if they look alike at a glance."""
+    glances = nodes.select("node", F.substring("signature", 1, 2 * GLANCE).alias("payload"))
+    # nodes fall into other parts in every bucket, so what parts of one bucket separate others join
+    part = F.when(F.col("n") > PART, F.pmod(F.xxhash64("bucket", "node"), F.ceil(F.col("n") / PART))).otherwise(0).cast("int")
+    shared = members.join(sizes, "bucket").select("bucket", "node", part.alias("part"), (F.col("n") > PART).alias("split"))
+    return shared.join(glances, "node").select("bucket", "part", "node", "payload", "split", F.lit(1 / PART).alias("weight"))
 
-    def deal(rows: DataFrame) -> DataFrame:
-        rows = rows.select("bucket", "part", "node", "split", "glance", "met")
-        return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_in_places(_meet), "a long, b long, bucket long, glance binary, met long")
 
-    found = materialize(deal(met), "links")
-    # leaders of the parts of large buckets meet once more, in one place for each bucket
-    leaders = found.where("bucket is not null").select("bucket", F.lit(0).alias("part"), F.col("a").alias("node"), F.lit(False).alias("split"), "glance", "met")
-    return _once(found.where("b is not null").select("a", "b").unionByName(deal(leaders).where("b is not null").select("a", "b")))
+def between_groups(met: DataFrame) -> DataFrame:
+    """Rows (bucket, node, grp, payload, weight) dealt to places where any two nodes of a bucket that differ in ``grp`` meet.
 
-
-def cross_links(met: DataFrame) -> DataFrame:
-    """All links (a, b) of nodes that share a bucket, look alike at a glance and differ in ``grp``.
-
-    Nodes outside a bucket's largest group lead, so any two of different groups have a leader among them. A large
-    bucket's followers and leaders are dealt by hashes into places of about ``PART`` each; every leader comes to
-    every part of the followers.
+    Nodes outside a bucket's largest group lead, so any two of different groups have a leader among them. Followers and
+    leaders are dealt by hashes into places of a weight of about one each; every leader comes to every part of the followers.
     """
-    sizes = met.groupBy("bucket", "grp").agg(F.count("*").alias("n"))
-    whole = sizes.groupBy("bucket").agg(F.max(F.struct("n", "grp")).alias("most"), F.sum("n").alias("n"))
-    parts = lambda n: F.ceil(n / PART).cast("int")
-    mixed = whole.where("n > most.n").select("bucket", F.col("most.grp").alias("largest"), parts(F.col("n")).alias("p"), parts(F.col("n") - F.col("most.n")).alias("q"))
+    sizes = met.groupBy("bucket", "grp").agg(F.sum("weight").alias("n"))
+    whole = sizes.groupBy("bucket").agg(F.max(F.struct("n", "grp")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("groups"))
+    parts = lambda n: F.greatest(F.lit(1), F.ceil(n)).cast("int")
+    mixed = whole.where("groups > 1").select("bucket", F.col("most.grp").alias("largest"), parts(F.col("n")).alias("p"), parts(F.col("n") - F.col("most.n")).alias("q"))
     dealt = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "node"), F.col(n)).cast("int")
-    rows = met.join(mixed, "bucket").select("bucket", "node", "glance", "grp", (F.col("grp") != F.col("largest")).alias("minor"), "p", "q", dealt(5, "p").alias("i"), dealt(7, "q").alias("j"))
+    rows = met.join(mixed, "bucket").select("bucket", "node", "payload", "grp", (F.col("grp") != F.col("largest")).alias("minor"), "p", "q", dealt(5, "p").alias("i"), dealt(7, "q").alias("j"))
     place = (F.col("x") * F.col("q")).cast("int")
     followers = rows.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("q") - 1)))
-    followers = followers.select("bucket", (F.col("i") * F.col("q") + F.col("x")).alias("part"), "node", "glance", "grp", (F.col("minor") & (F.col("x") == F.col("j"))).alias("lead"), F.lit(True).alias("follow"))
+    followers = followers.select("bucket", (F.col("i") * F.col("q") + F.col("x")).alias("part"), "node", "payload", "grp", (F.col("minor") & (F.col("x") == F.col("j"))).alias("lead"), F.lit(True).alias("follow"))
     leaders = rows.where("minor and p > 1").withColumn("x", F.explode(F.sequence(F.lit(0), F.col("p") - 1))).where("x <> i")
-    leaders = leaders.select("bucket", (place + F.col("j")).alias("part"), "node", "glance", "grp", F.lit(True).alias("lead"), F.lit(False).alias("follow"))
-    places = followers.unionByName(leaders).repartition("bucket", "part").sortWithinPartitions("bucket", "part")
-    return _once(places.mapInArrow(_in_places(_cross), "a long, b long"))
-
-
-def weigh(links: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """The links with the share of coordinates in which whole signatures agree, without those surely too far apart."""
-    names = nodes.select("node", "signature")
-    both = links.join(names.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a").join(names.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b").select("a", "b", "x", "y")
-    return materialize(both.mapInArrow(_agreement, "a long, b long, share double").where(F.col("share") >= least - CLEAR - 0.04), "weighed")
+    leaders = leaders.select("bucket", (place + F.col("j")).alias("part"), "node", "payload", "grp", F.lit(True).alias("lead"), F.lit(False).alias("follow"))
+    return followers.unionByName(leaders)
 
 
-def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, K) for k in (2, 3))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((x == y).mean(1))], ["a", "b", "share"])
-
-
-def jaccard(a: str, b: str) -> float:
-    """Weighted Jaccard similarity of two texts' shingles."""
-    sets = []
-    for text in (a, b):
-        raw = np.frombuffer(text.encode(), np.uint8)
-        start, end, row = words.spans(raw, np.array([0, len(raw)]))
-        grams, r = words.shingles(words.span_hashes(raw, start, end), row, 1, SHINGLE)
-        sets.append(_elements(grams, r))
-    x, y = sets
-    shared = len(np.intersect1d(x, y, assume_unique=True))
-    return shared / max(1, len(x) + len(y) - shared)
+def _grouped(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows with ``grp``, their node's component."""
+    return rows.join(found, "node", "left").withColumn("grp", F.coalesce("component", "node")).drop("component")
 
 
-def _settle(least: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = [jaccard(x.as_py() or "", y.as_py() or "") >= least for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(near, pa.bool_()))
-
-    return run
+def clouds(nodes: DataFrame, least: float) -> DataFrame:
+    """(node, component) of nodes that look alike, through others or directly; nodes that look like none are left out."""
+    met = materialize(buckets(nodes), "buckets")
+    links = materialize(_settled(met, _look(least)), "looks")
+    split = met.where("split")
+    if not split.isEmpty():
+        split = _grouped(split, components(links))
+        glance_least = _glance_least(least)
+        near = lambda some, others: np.concatenate([(np.array(others) == x).mean(1)[None] >= glance_least for x in some])
+        links = links.unionByName(_settled(between_groups(split), _cross(near, _glances)))
+    return components(links)
 
 
 def _few(rows: DataFrame) -> DataFrame:
@@ -319,49 +372,50 @@ def _with_keys(docs: DataFrame, keys: DataFrame, id_column: str) -> DataFrame:
     return docs.join(_few(keys), docs[id_column].eqNullSafe(F.col("_key")), "left_semi")
 
 
-def _texts(docs: DataFrame, ids: DataFrame, nodes: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(node, text) of the wanted nodes; of the rows with their ids only those of the same words count."""
-    wanted = materialize(nodes.join(ids, "node", "left_semi").select("node", "key", F.col("digest").alias("_digest")), "wanted")
-    rows = docs.select(F.col(id_column).alias("key"), F.col(text_column).cast("string").alias("text"))
-    return _with_digest(_with_keys(rows, wanted, "key"), "text").join(_few(wanted.select("node", "_digest")), "_digest").select("node", "text").dropDuplicates(["node"])
-
-
-def _between(links: DataFrame, found: DataFrame) -> DataFrame:
-    """The links whose ends are in different components."""
-    owner = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
-    out = links.join(owner("a"), "a", "left").join(owner("b"), "b", "left")
-    return out.where("of_a is null or of_b is null or of_a <> of_b").select("a", "b", "share")
+def _shingled(rows: DataFrame) -> DataFrame:
+    """(digest, payload): the shingles of the rows' last column, once for each digest that a task has not just seen."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            raw, offsets = words.column_bytes(batch.column(1))
+            for a, b in words.blocks(offsets):
+                piece, off = raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                start, end, row = words.spans(piece, off)
+                hashes = words.span_hashes(piece, start, end)
+                digests = _digests(hashes, np.searchsorted(row, np.arange(b - a + 1)))
+                grams, r = words.shingles(hashes, row, b - a, SHINGLE)
+                elements, cut = _elements(grams, r), np.searchsorted(r, np.arange(b - a + 1))
+                new = [j for j, d in enumerate(digests) if d not in seen]
+                if len(seen) < SEEN:
+                    seen.update(digests)
+                for k in range(0, len(new), 500):
+                    some = new[k : k + 500]
+                    yield pa.RecordBatch.from_arrays([pa.array([digests[j] for j in some], pa.binary()), pa.array([elements[cut[j] : cut[j + 1]].tobytes() for j in some], pa.binary())], ["digest", "payload"])
 
-def _settled(docs: DataFrame, links: DataFrame, nodes: DataFrame, id_column: str, text_column: str, least: float) -> DataFrame:
-    """The links whose texts' shingles are alike enough."""
-    links = materialize(links, "unclear")
-    wanted = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    texts = _texts(docs, wanted, nodes, id_column, text_column)
-    read = links.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-    return materialize(read.select("a", "b", "x", "y").mapInArrow(_settle(least), "a long, b long"), "settled")
+    return rows.mapInArrow(run, "digest binary, payload binary")
 
 
 def _classified(docs: DataFrame, id_column: str, text_column: str, least: float) -> DataFrame:
     """(key, digest, class_id, kept) of every row; rows are told apart by number, texts by digest, never by id."""
     signed = materialize(sign(docs, id_column, text_column), "signatures")
-    nodes = signed.groupBy("digest").agg(F.xxhash64("digest").alias("node"), F.min("key").alias("key"), F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "digest", "row")).alias("first"), F.first("signature", ignorenulls=True).alias("signature"))
+    nodes = signed.groupBy("digest").agg(F.xxhash64("digest").alias("node"), F.min("key").alias("key"), F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "digest", "row")).alias("first"), F.first("signature", ignorenulls=True).alias("signature"), F.max("shingles").alias("shingles"))
     nodes = materialize(nodes, "nodes")
-    # links to one node of each bucket connect most groups; after that only links between groups count
-    met = buckets(nodes)
-    weighed = weigh(leading_links(met), nodes, least)
-    sure = F.col("share") >= least + CLEAR
-    linked = weighed.where(sure).select("a", "b")
-    between = lambda rows, found: _between(rows.where(~sure), found)
-    best = F.slice(F.sort_array(F.collect_list(F.struct("share", "b")), False), 1, TRIED)
-    tried = between(weighed, components(linked)).groupBy("a").agg(F.explode(best).alias("x")).select("a", "x.b")
-    linked = linked.unionByName(_settled(docs, tried, nodes, id_column, text_column, least))
-    found = components(linked)
-    grouped = met.join(found, "node", "left").withColumn("grp", F.coalesce("component", "node")).drop("component")
-    rest = weigh(cross_links(grouped), nodes, least)
-    linked = materialize(linked.unionByName(rest.where(sure).select("a", "b")), "linked")
-    tried = between(weighed.unionByName(rest), components(linked)).select("a", "b").distinct()
-    found = components(linked.unionByName(_settled(docs, tried, nodes, id_column, text_column, least)))
+    met = clouds(nodes, least).withColumnRenamed("component", "bucket")
+    met = nodes.select("node", "key", "digest", F.greatest(F.lit(1 / PART), F.col("shingles") / SHINGLES).alias("weight")).join(met, "node")
+    met = materialize(met, "clouds")
+    sizes = met.groupBy("bucket").agg(F.ceil(F.sum("weight")).cast("int").alias("parts"))
+    wanted = met.join(sizes, "bucket").select("bucket", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), "node", "weight", "digest", (F.col("parts") > 1).alias("split"))
+    rows = docs.select(F.col(id_column).alias("key"), F.col(text_column).cast("string").alias("text"))
+    wanted = materialize(_shingled(_with_keys(rows, met, "key")).join(wanted.hint("shuffle_hash"), "digest"), "shingles")
+    linked = materialize(_settled(wanted, _compare(least)), "alike")
+    found = linked.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    split = wanted.where("split")
+    if not split.isEmpty():
+        # copies that several tasks have sent count once
+        split = _grouped(split.dropDuplicates(["node"]), components(linked))
+        near = lambda some, others: _similar(some, others, least)
+        found = components(linked.unionByName(_settled(between_groups(split), _cross(near, _values))))
     owned = nodes.join(found, "node", "left").select("digest", "first", F.coalesce("component", "node").alias("cls"))
     named = owned.groupBy("cls").agg(F.min("first").alias("head"))
     headed = owned.join(named, "cls").select("digest", F.coalesce(F.col("head.key").cast("long"), "cls").alias("class_id"), F.col("head.row").alias("head"))

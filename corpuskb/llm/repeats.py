@@ -66,11 +66,10 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = [np.asarray(batch.column(k)) for k in (0, 1)]
         for x, y in words.blocks(offsets):
             piece, off = raw[offsets[x] : offsets[y]], offsets[x : y + 1] - offsets[x]
-            sums = anchors.prefix_sums(piece)
-            h, place, a, b = anchors.find(sums, off, LENGTH)
+            h, place, a, b = anchors.find(piece, off, LENGTH)
             if not len(h):
                 continue
-            c = anchors.span_hash(sums, a, b - 1 + LENGTH)
+            c = words.span_hashes(piece, a, b - 1 + LENGTH)
             row = np.searchsorted(off, place, "right") - 1
             base = off[row]
             order = np.lexsort((place, c, h))

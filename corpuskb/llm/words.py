@@ -10,24 +10,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the hash base and of its inverse, modulo 2**64."""
-    global _powers
-    if len(_powers[0]) < n:
-        out = []
-        for base in (_BASE, _INVERSE):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            out.append(np.cumprod(steps, dtype=np.uint64))
-        _powers = out[0], out[1]
-    return _powers[0][:n], _powers[1][:n]
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     h = h ^ (h >> np.uint64(31))
@@ -75,12 +57,42 @@ def spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start, np.flatnonzero(ends) + 1, np.searchsorted(offsets, start, "right") - 1
 
 
+def chunks(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position as one number; beyond the end they are zero."""
+    padded = np.zeros(len(raw) + 8, np.uint8)
+    padded[: len(raw)] = raw
+    return np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))
+
+
+_MASKS = np.array([0] + [(1 << 8 * k) - 1 for k in range(1, 9)], np.uint64)
+
+
 def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every byte span, from one prefix sum of a polynomial."""
-    up, down = powers(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    """A 64-bit hash of every byte span: each eight bytes are mixed with their number before they are added.
+
+    The mixing leaves no algebra of positions to collide by, as powers of a base modulo 2**64 have.
+    """
+    length = (end - start).astype(np.int64)
+    out = mix(length.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    if not len(start):
+        return out
+    at = chunks(raw)
+    # most spans are words of up to eight bytes: one step for all, the long ones go on in pieces of bounded size
+    out += mix(at[start] & _MASKS[np.minimum(length, 8)])
+    long_ = np.flatnonzero(length > 8)
+    steps = (length[long_] - 1) // 8
+    edges = np.searchsorted(np.cumsum(steps), np.arange(0, steps.sum(), 1 << 18)[1:], "left")
+    for part in np.split(np.arange(len(long_)), np.unique(edges)):
+        if not len(part):
+            continue
+        who, n = long_[part], steps[part]
+        first = np.cumsum(n) - n
+        number = np.arange(n.sum()) - np.repeat(first, n) + 1
+        owner = np.repeat(who, n)
+        left = np.minimum(length[owner] - 8 * number, 8)
+        value = at[start[owner] + 8 * number] & _MASKS[left]
+        out[who] += np.add.reduceat(mix(value ^ mix(number.astype(np.uint64))), first)
+    return mix(out)
 
 
 def shingles(hashes: np.ndarray, row: np.ndarray, n_rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:

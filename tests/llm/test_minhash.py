@@ -127,12 +127,39 @@ def test_a_text_near_its_leader_keeps_its_own_links(spark):
     assert all(found[i] == i // 3 * 3 for i in found)
 
 
-def test_all_pairs_of_split_buckets_meet(spark, monkeypatch):
+def test_nodes_of_all_groups_of_split_buckets_meet(spark, monkeypatch):
     monkeypatch.setattr(minhash, "PART", 3)
-    rows = [(9, n, bytes(2 * minhash.GLANCE), n % 4 if n > 6 else 0) for n in range(20)]
-    found = minhash.cross_links(spark.createDataFrame(rows, "bucket long, node long, glance binary, grp long")).collect()
-    group = {n: g for _, n, _, g in rows}
-    assert {(r.a, r.b) for r in found} == {(a, b) for a in group for b in group if a > b and group[a] != group[b]}
+    rows = [(9, n, bytes([n]), n % 4 if n > 6 else 0, 1 / 3) for n in range(20)]
+    places = {}
+    for r in minhash.between_groups(spark.createDataFrame(rows, "bucket long, node long, payload binary, grp long, weight double")).collect():
+        places.setdefault(r.part, []).append(r)
+    group = {n: g for _, n, _, g, _ in rows}
+    met = {(max(x.node, y.node), min(x.node, y.node)) for p in places.values() for x in p for y in p if x.lead and y.follow and x.grp != y.grp}
+    assert met == {(a, b) for a in group for b in group if a > b and group[a] != group[b]}
+
+
+def group_near_the_threshold(n=120, seed=5):
+    """Texts made from one by edits, their similarities around 0.8, and some that are like only a few of these."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(300)]
+    texts = []
+    for i in range(n):
+        source = base if i < n // 2 else texts[rng.randrange(i // 2)].split()
+        edited = list(source)
+        for _ in range(rng.choice([4, 5, 6, 7, 14])):
+            edited[rng.randrange(300)] = f"own{rng.randrange(1 << 40)}"
+        texts.append(" ".join(edited))
+    return texts
+
+
+@pytest.mark.parametrize("part", [1000, 13])
+def test_hot_groups_near_the_threshold_equal_brute_force(spark, monkeypatch, part):
+    monkeypatch.setattr(minhash, "PART", part)
+    texts = group_near_the_threshold()
+    got = {r.doc_id: r.class_id for r in minhash.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want = brute(texts)
+    assert 3 < len(set(want)) < 100
+    assert [got[i] for i in range(len(texts))] == want
 
 
 def test_one_row_of_each_class_stays_whatever_the_ids(spark):
