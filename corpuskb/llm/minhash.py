@@ -191,10 +191,12 @@ def _look(least: float):
         a, b = [node[at]], [node[first[at]]]
         for x, y in places:
             if not whole[x]:
-                g = glance[x:y]
-                pairs = _forest(lambda some, left, g=g: (g[some][:, None] == g[left][None]).mean(2) >= least, y - x)
-                a.append(node[[x + i for _, i in pairs]] if pairs else node[:0])
-                b.append(node[[x + i for i, _ in pairs]] if pairs else node[:0])
+                g, head = glance[x:y], np.arange(y - x)
+                for parent, child in _forest(lambda some, left, g=g: (g[some][:, None] == g[left][None]).mean(2) >= least, y - x):
+                    head[child] = head[parent]
+                child = np.flatnonzero(head != np.arange(y - x))
+                a.append(node[x + child])
+                b.append(node[x + head[child]])
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
     return settle
@@ -308,7 +310,7 @@ def _in_places(settle):
 
 def _settled(rows: DataFrame, settle) -> DataFrame:
     """Links (a, b) from rows dealt by bucket and part."""
-    dealt = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+    dealt = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part", "node")
     return dealt.mapInArrow(_in_places(settle), "a long, b long")
 
 
@@ -349,10 +351,20 @@ def _grouped(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(found, "node", "left").withColumn("grp", F.coalesce("component", "node")).drop("component")
 
 
+def _thinned(links: DataFrame) -> DataFrame:
+    """Links that connect the same nodes: one from each node, the others from its other ends to that one's.
+
+    A node has no more links than buckets, so what is gathered of it is bounded.
+    """
+    ends = links.groupBy("a").agg(F.collect_set("b").alias("ends")).withColumn("least", F.array_min("ends"))
+    others = ends.select(F.explode("ends").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
+    return ends.select("a", F.col("least").alias("b")).unionByName(others)
+
+
 def clouds(nodes: DataFrame, least: float) -> DataFrame:
     """(node, component) of nodes that look alike, through others or directly; nodes that look like none are left out."""
     met = materialize(buckets(nodes), "buckets")
-    links = materialize(_settled(met, _look(least)), "looks")
+    links = materialize(_thinned(_settled(met, _look(least))), "looks")
     split = met.where("split")
     if not split.isEmpty():
         split = _grouped(split, components(links))
