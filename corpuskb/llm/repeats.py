@@ -32,10 +32,14 @@ from corpuskb.llm.suffix import deep_shallow_sort
 LENGTH = 200
 #: Offsets of a window's start before its anchor: 0 to WIDTH.
 WIDTH = LENGTH - anchors.GRAM
-#: Strips that one key may bring into one place, besides those that a task has not seen ``SEEN`` times.
-PART, SEEN = 500, 3
-#: Hot keys hold over one in so many rows each: the driver never sees more of them.
-HOT_KEYS = 20_000
+#: Strips that one key may bring into one place, some 7 MB; the bound is fixed, whatever the corpus.
+PART = 20_000
+#: Hot keys that come to the driver; more of them are met by a join.
+HOT_KEYS = 500_000
+#: Rows that a task remembers, so as not to send equal ones again.
+SEEN = 200_000
+#: Bytes of texts whose anchors are looked for at a time.
+BLOCK = 1 << 19
 _SPAN = (1 << 32) - 1
 
 
@@ -64,7 +68,7 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, offsets = words.column_bytes(batch.column(2))
         ids = [np.asarray(batch.column(k)) for k in (0, 1)]
-        for x, y in words.blocks(offsets):
+        for x, y in words.blocks(offsets, BLOCK):
             piece, off = raw[offsets[x] : offsets[y]], offsets[x : y + 1] - offsets[x]
             h, place, a, b = anchors.find(piece, off, LENGTH)
             if not len(h):
@@ -97,37 +101,40 @@ def _merged_in_rows(start: np.ndarray, end: np.ndarray, offsets: np.ndarray) ->
     return start - row, end - row
 
 
-def heavy(rows: DataFrame, columns: list[str]) -> list[tuple[str, int]]:
-    """(column, value) of hot values of long columns: over PART rows, and over one in HOT_KEYS of all rows.
+def heavy(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """(k, v): values v of the k-th column that may have over PART rows; all that have are among them.
 
-    Tasks report only values that they see SEEN times, so nothing is gathered of values that are rare.
+    Tasks report what they see often. A value of over PART rows is missed in all tasks together at most PART / 2
+    times, so those reported over PART / 2 times hold it.
     """
+    least = max(1, PART // (2 * max(1, rows.rdd.getNumPartitions())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[list] = [[] for _ in columns]
-        n = 0
         for batch in batches:
-            n += batch.num_rows
             for part, column in zip(parts, batch.columns, strict=True):
                 part.append(np.asarray(column))
         for k, part in enumerate(parts):
             value, count = np.unique(np.concatenate(part), return_counts=True) if part else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            often = count >= SEEN
+            often = count >= least
             yield pa.RecordBatch.from_arrays([pa.array(np.full(often.sum(), k)), pa.array(value[often]), pa.array(count[often])], ["k", "v", "n"])
-        yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([0]), pa.array([n])], ["k", "v", "n"])
 
-    found = rows.select(*columns).mapInArrow(run, "k long, v long, n long").groupBy("k", "v").agg(F.sum("n").alias("n")).where(f"k = -1 or n > {PART}")
-    found = materialize(found, "heavy")
-    total = found.where("k = -1").agg(F.sum("n")).first()[0] or 0
-    return [(columns[r["k"]], r["v"]) for r in found.where((F.col("k") >= 0) & (F.col("n") > max(PART, len(columns) * total // HOT_KEYS))).collect()]
+    found = rows.select(*columns).mapInArrow(run, "k long, v long, n long").groupBy("k", "v").agg(F.sum("n").alias("n")).where(F.col("n") > PART // 2)
+    return materialize(found.select("k", "v"), "heavy")
 
 
-def _flagged(rows: DataFrame, hot: list[tuple[str, int]], columns: list[str]) -> DataFrame:
+def _flagged(rows: DataFrame, hot: DataFrame, columns: list[str]) -> DataFrame:
     """The rows with a flag hot_<column> for each of the columns: whether its value is hot."""
-    values = {c: np.sort(np.array([v for k, v in hot if k == c], np.int64)) for c in columns}
-    if not hot:
+    n = hot.count()
+    if not n:
         return rows.select("*", *(F.lit(False).alias(f"hot_{c}") for c in columns))
-    shared = rows.sparkSession.sparkContext.broadcast(values)
+    if n > HOT_KEYS:
+        for k, c in enumerate(columns):
+            named = hot.where(F.col("k") == k).select(F.col("v").alias(c), F.lit(True).alias(f"hot_{c}"))
+            rows = rows.join(named, c, "left").withColumn(f"hot_{c}", F.coalesce(f"hot_{c}", F.lit(False)))
+        return rows
+    found = hot.collect()
+    shared = rows.sparkSession.sparkContext.broadcast({c: np.array([r["v"] for r in found if r["k"] == k], np.int64) for k, c in enumerate(columns)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,9 +190,18 @@ def _met(table: pa.Table) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as compressed bytes, for the way to other executors."""
-    pack = zstandard.ZstdCompressor(1)
+    """Texts as compressed bytes, for the way to other executors; rows that are equal to one just seen add nothing."""
+    pack, seen = zstandard.ZstdCompressor(1), set()
     for batch in batches:
+        names = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        new = []
+        for k, name in enumerate(names):
+            if name not in seen:
+                new.append(k)
+                if len(seen) < SEEN:
+                    seen.add(name)
+        if len(new) < len(names):
+            batch = batch.take(pa.array(new, pa.int64()))
         texts = batch.column(2).cast(pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([pack.compress(t.as_buffer()) for t in texts], pa.binary())], ["r1", "r2", "blob"])
 
@@ -331,11 +347,8 @@ def _dealt(rows: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
         split = split.withColumn("key", F.xxhash64("h", "low", "high", shared)).withColumn("whole", F.xxhash64("key", F.col("at").bitwiseAND(F.lit(0xFFFF)), "strip"))
         split = materialize(split, "split")
         hot = heavy(split, ["key", "whole"])
-        if hot:
-            # three readers: the flags are computed once
-            split = materialize(_flagged(split, hot, ["key", "whole"]), "flagged")
-        else:
-            split = _flagged(split, hot, ["key", "whole"])
+        # three readers: the flags are computed once
+        split = _flagged(split, hot, ["key", "whole"]) if hot.isEmpty() else materialize(_flagged(split, hot, ["key", "whole"]), "flagged")
         split = split.withColumn("same", F.expr("hot_whole or hot_key and low = high"))
         settled.append(split.where("same").select("r1", "r2", F.expr(f"shiftleft(shiftright(at, 17) - (shiftright(at, 8) & 255), 32) | (shiftright(at, 17) - (at & 255) + {LENGTH})").alias("at")))
         ready.append(split.where("not hot_key and not same").select("key", "r1", "r2", "at", "low", "high", "strip"))
@@ -343,7 +356,7 @@ def _dealt(rows: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
         columns = ["h", "r1", "r2", "at", "low", "high", "strip"]
         one = split.where("same and low < high").groupBy("whole").agg(F.first(F.struct(*columns)).alias("x")).select("x.*")
         rows = split.where("hot_key and not same").select(*columns).unionByName(one.withColumn("at", F.col("at").bitwiseOR(F.lit(1 << 16))))
-        more = any(column == "key" for column, _ in hot)
+        more = not hot.where("k = 0").isEmpty()
     return ready, settled
 
 
@@ -358,15 +371,19 @@ def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     met = materialize(rest.mapInArrow(_by_group(_met), "h long, r1 long, r2 long, at long"), "met")
     spans = [stored.where("h is null").select("r1", "r2", "at"), met.where("h is null").select("r1", "r2", "at")]
     asked = met.where("h is not null")
-    if hot:
-        asked = asked.unionByName(marked.where("hot_h").select("h", "r1", "r2", "at"))
+    any_hot = not hot.isEmpty()
+    if any_hot:
+        # equal rows ask once, with the mark that there are others
+        every = marked.where("hot_h").groupBy("h", "r1", "r2", "at").agg(F.count("*").alias("n"))
+        asked = asked.unionByName(every.select("h", "r1", "r2", F.when(F.col("n") > 1, F.col("at").bitwiseOR(F.lit(1 << 16))).otherwise(F.col("at")).alias("at")))
+        spans.append(every.where("n > 1").select("r1", "r2", F.expr(f"shiftleft(shiftright(at, 17) - (shiftright(at, 8) & 255), 32) | (shiftright(at, 17) - (at & 255) + {LENGTH})").alias("at")))
     grouped = asked.groupBy("r1", "r2").agg(F.collect_list(F.struct("h", "at")).alias("x")).select("r1", "r2", F.col("x.h").alias("hs"), F.col("x.at").alias("ats"))
     packed = texts.mapInArrow(_packed, "r1 long, r2 long, blob binary")
     joined = packed.join(grouped.hint("shuffle_hash"), ["r1", "r2"]).select("r1", "r2", "blob", "hs", "ats")
     strips = materialize(joined.mapInArrow(_strips, "h long, r1 long, r2 long, at long, strip binary"), "strips")
     strips = _flagged(strips.select("*", F.lit(0).cast("long").alias("low"), F.lit(WIDTH).cast("long").alias("high")), hot, ["h"])
     ready = [strips.where("not hot_h").select(F.col("h").alias("key"), "r1", "r2", "at", "low", "high", "strip")]
-    if hot:
+    if any_hot:
         more, settled = _dealt(strips.where("hot_h").drop("hot_h"))
         ready += more
         spans += settled
@@ -416,7 +433,7 @@ def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array([pack.compress(t.as_buffer()) for t in batch.column(3).cast(pa.binary())], pa.binary())], ["r1", "r2", "key", "blob"])
 
-    found = find(docs, id_column, text_column).groupBy("r1", "r2").agg(F.collect_list("at").alias("spans"))
+    found = find(docs, id_column, text_column).distinct().groupBy("r1", "r2").agg(F.collect_list("at").alias("spans"))
     rows = docs.select(*_row_ids(key, text), key.alias("key"), text.alias("text")).mapInArrow(packed, f"r1 long, r2 long, key {kind}, blob binary")
     joined = rows.join(found.hint("shuffle_hash"), ["r1", "r2"], "left").select("key", "blob", "spans")
     return joined.mapInArrow(run, f"{id_column} {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
@@ -431,14 +448,16 @@ def remove(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k, body = names.index(text_column), batch.select(names)
-            column = body.column(k)
-            spans = batch.column(len(names))
+            k = names.index(text_column)
+            body = pa.RecordBatch.from_arrays(batch.columns[: len(names)], names)
+            column, spans = body.column(k), batch.column(len(names))
             texts = [t if not s.is_valid or t is None else _cut(t.encode(), np.asarray(s.values))[0].decode(errors="ignore") for t, s in zip(column.to_pylist(), spans, strict=True)]
             yield body.set_column(k, body.schema.field(k), pa.array(texts, column.type))
 
-    key, text = F.col(id_column), F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    r1, r2 = _row_ids(key, text)
-    found = find(docs, id_column, text_column).groupBy("r1", "r2").agg(F.collect_list("at").alias("__spans")).select(F.col("r1").alias("__r1"), F.col("r2").alias("__r2"), "__spans")
-    joined = docs.select("*", r1.alias("__r1"), r2.alias("__r2")).join(found.hint("shuffle_hash"), ["__r1", "__r2"], "left")
-    return joined.select(*names, "__spans").mapInArrow(run, docs.schema)
+    # columns go by number, so that none of the rows' own names can clash with these
+    renamed = docs.toDF(*(f"c{k}" for k in range(len(names))))
+    own = {name: f"c{k}" for k, name in enumerate(names)}
+    key, text = F.col(own[id_column]), F.coalesce(F.col(own[text_column]).cast("string"), F.lit(""))
+    found = find(docs, id_column, text_column).distinct().groupBy("r1", "r2").agg(F.collect_list("at").alias("spans"))
+    joined = renamed.select("*", *_row_ids(key, text)).join(found.hint("shuffle_hash"), ["r1", "r2"], "left")
+    return joined.select(*own.values(), "spans").mapInArrow(run, docs.schema)

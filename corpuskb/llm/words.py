@@ -31,7 +31,7 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def blocks(offsets: np.ndarray, limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def blocks(offsets: np.ndarray, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes each, one row at least: bounds the memory of vectorised work."""
     start = 0
     while start < len(offsets) - 1:

@@ -75,3 +75,22 @@ def test_empty_table_and_repeated_rows(spark):
     text = " ".join(map(str, range(100)))
     rows = repeats.digests(spark.createDataFrame([(1, text), (1, text), (None, None)], schema)).collect()
     assert sorted(r["n_removed"] for r in rows) == [0, len(text), len(text)]
+
+
+@pytest.mark.parametrize("part", [20_000, 6])
+def test_spans_of_equal_rows_do_not_grow_with_their_number(spark, monkeypatch, part):
+    monkeypatch.setattr(repeats, "PART", part)
+    text = " ".join(map(str, range(300)))
+    for n in (3, 40):
+        docs = spark.createDataFrame([(1, text)] * n + [(2, text + " end")], "doc_id long, text string").repartition(2)
+        found = repeats.digests(docs).collect()
+        assert sorted(r["n_removed"] for r in found) == [len(text)] * (n + 1)
+        spans = repeats.find(docs).distinct().groupBy("r1", "r2").count().collect()
+        assert max(r["count"] for r in spans) < 60
+
+
+def test_columns_named_as_the_operator_names_its_own_stay(spark):
+    text = " ".join(map(str, range(100)))
+    docs = spark.createDataFrame([(1, text, 5, "a", "b"), (2, text, 6, "c", "d"), (3, None, None, None, None)], "doc_id long, text string, r1 long, __spans string, spans string")
+    left = sorted(map(tuple, repeats.remove(docs).collect()))
+    assert left == [(1, "", 5, "a", "b"), (2, "", 6, "c", "d"), (3, None, None, None, None)]
