@@ -3,7 +3,8 @@
 Overlapping heuristic labellers vote good, bad or abstain on every document. Expectation-maximisation over
 the counts of vote patterns in the whole corpus estimates each labeller's accuracy and gives each pattern a
 posterior; posteriors of a bounded sample train a hashed linear scorer, which judges every document.
-Next to it stands an abuse score: words and word beginnings that labelled toxic documents hold and others don't.
+One labeller counts abuse: words and word beginnings that labelled toxic documents hold and others don't. Where it
+votes bad the document goes, whatever the scorer says, since few such words make a text toxic.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ LABELLERS = (
     ("words longer than 40 characters per word", 0.01, 0.20),
     ("words without a letter per word", 0.15, 0.45),
 )
+#: The abuse labeller's place in a pattern: good without hits, bad from the calibrated weight on.
+ABUSE = len(LABELLERS)
+N_LABELLERS = ABUSE + 1
 SLOTS = 1 << 15
 _SYMBOL, _PLAIN_END = np.zeros(256, bool), np.zeros(256, bool)
 _SYMBOL[list(rules.SYMBOLS.encode())] = True
@@ -47,6 +51,8 @@ class Model:
     bias: float = 5.0
     threshold: float = 0.5
     abuse: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    #: 2 for words that no labelled clean document holds, 1 for the others
+    abuse_weight: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     abuse_hits: int = 2
 
 
@@ -83,7 +89,7 @@ class Block:
             length[k] = np.count_nonzero((raw[self.start[k] : self.end[k]] & 0xC0) != 0x80)
         return {"odd_end": odd, "upper": self._in_word(upper), "letter": self._in_word(letter, True), "symbol": self._in_word(_SYMBOL[raw]), "mark": self._in_word(mark), "digit": self._in_word((raw >= 48) & (raw <= 57)), "length": length}
 
-    def votes(self, shapes: dict[str, np.ndarray]) -> np.ndarray:
+    def votes(self, shapes: dict[str, np.ndarray], model: Model, abuse: np.ndarray) -> np.ndarray:
         """A pattern number of every row: two bits a labeller, 0 abstains, 1 good, 2 bad."""
         n = np.maximum(self.count, 1)
         total = lambda x: np.bincount(self.row, weights=x, minlength=self.n)
@@ -104,6 +110,8 @@ class Block:
         for k, (rate, (_, good, bad)) in enumerate(zip(rates, LABELLERS, strict=True)):
             vote = np.where(rate >= bad, 2, np.where(rate <= good, 1, 0))
             pattern |= np.where(self.count > 0, vote, 2) << (2 * k)
+        if len(model.abuse):
+            pattern |= np.where(abuse >= model.abuse_hits, 2, np.where(abuse == 0, 1, 0)) << (2 * ABUSE)
         return pattern
 
     def slots(self, shapes: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -141,12 +149,13 @@ class Block:
         return whole, words.mix(words.span_hashes(low, start, head) + np.uint64(1))
 
     def abuse_hits(self, model: Model) -> np.ndarray:
+        """The weight of each row's abuse words."""
         if not len(model.abuse):
             return np.zeros(self.n, np.int64)
-        hit = np.zeros(len(self.hash), bool)
+        hit = np.zeros(len(self.hash), np.int64)
         for h in self.stems():
             at = np.minimum(np.searchsorted(model.abuse, h), len(model.abuse) - 1)
-            hit |= model.abuse[at] == h
+            hit = np.maximum(hit, np.where(model.abuse[at] == h, model.abuse_weight[at], 0))
         return np.bincount(self.row, weights=hit, minlength=self.n).astype(np.int64)
 
 
@@ -156,14 +165,14 @@ def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, Bloc
         yield a, b, Block(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
 
 
-def vote_counts(docs: DataFrame, text_column: str = "text") -> dict[int, int]:
-    """How many documents have each vote pattern: at most 3 ** len(LABELLERS) numbers, whatever the corpus."""
+def vote_counts(docs: DataFrame, model: Model, text_column: str = "text") -> dict[int, int]:
+    """How many documents have each vote pattern: at most 3 ** N_LABELLERS numbers, whatever the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, int] = {}
         for batch in batches:
             for _, _, block in _blocks(batch, 0):
-                for pattern, n in zip(*np.unique(block.votes(block.shapes()), return_counts=True), strict=True):
+                for pattern, n in zip(*np.unique(block.votes(block.shapes(), model, block.abuse_hits(model)), return_counts=True), strict=True):
                     seen[int(pattern)] = seen.get(int(pattern), 0) + int(n)
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], ["pattern", "n"])
 
@@ -177,34 +186,39 @@ def expectation_maximisation(counts: dict[int, int], rounds: int = 50) -> tuple[
     Starts from the view that any bad vote is right; abstentions carry no evidence.
     """
     if not counts:
-        return {}, [(0.5, 0.5)] * len(LABELLERS)
+        return {}, [(0.5, 0.5)] * N_LABELLERS
     patterns = np.array(sorted(counts))
     n = np.array([counts[int(p)] for p in patterns], float)
-    votes = np.stack([(patterns >> (2 * k)) & 3 for k in range(len(LABELLERS))], 1)
+    votes = np.stack([(patterns >> (2 * k)) & 3 for k in range(N_LABELLERS)], 1)
     good = np.where((votes == 2).any(1), 0.1, 0.95)
-    right = np.full((2, len(LABELLERS)), 0.8)
+    right = np.full((2, N_LABELLERS), 0.8)
     for _ in range(rounds):
         for side, p in ((0, good), (1, 1 - good)):
             said = (votes != 0) * (n * p)[:, None]
             agreed = (votes == (1 if side == 0 else 2)) * (n * p)[:, None]
             # labellers seldom speak against a good document; each may know only one kind of bad ones
-            right[side] = np.clip((agreed.sum(0) + 4) / (said.sum(0) + 5), 0.15 if side else 0.97, 0.9995)
+            right[side] = np.clip((agreed.sum(0) + 4) / (said.sum(0) + 5), 0.15 if side else 0.9, 0.9995)
         prior = np.clip((n * good).sum() / n.sum(), 0.05, 0.98)
         logit = np.full(len(patterns), np.log(prior / (1 - prior)))
-        for k in range(len(LABELLERS)):
+        for k in range(N_LABELLERS):
             logit += np.where(votes[:, k] == 1, np.log(right[0, k] / (1 - right[1, k])), np.where(votes[:, k] == 2, np.log((1 - right[0, k]) / right[1, k]), 0))
         good = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
     return dict(zip(map(int, patterns), map(float, good), strict=True)), list(zip(right[0], right[1], strict=True))
 
 
 def fit(docs: DataFrame, labels: DataFrame | None, rows: int = 6000, id_column: str = "doc_id", text_column: str = "text", keep: float = 0.9995, seed: int = 11) -> Model:
-    """The model: patterns and accuracies from all documents, the scorer from at most ``rows`` of them.
+    """The model: patterns and accuracies from all documents, the scorer from at most ``rows`` with posterior labels.
 
-    Labelled rows, at most ``rows``, set the scorer's threshold (at least ``keep`` of the good ones stay) and
-    the abuse words; without labels the threshold is one half and there are no abuse words.
+    Labelled rows, at most ``rows``, give the abuse words and set the scorer's threshold (at least ``keep`` of the
+    good ones stay); without labels the threshold is one half and the abuse labeller abstains. Repeated ids count
+    as rows, of which no more than ``rows`` are used; null ids are in neither sample. An empty table gives a model that keeps
+    all texts with words.
     """
     model = Model()
-    model.posterior, model.accuracy = expectation_maximisation(vote_counts(docs, text_column))
+    known = None if labels is None else _labelled(docs, labels, rows, id_column, text_column)
+    if known is not None:
+        _find_abuse(model, known, rows)
+    model.posterior, model.accuracy = expectation_maximisation(vote_counts(docs, model, text_column))
     chosen = docs.select(id_column).where(F.col(id_column).isNotNull()).orderBy(F.xxhash64(F.lit(seed), id_column)).limit(rows).distinct()
     posterior = model.posterior
 
@@ -213,7 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame | None, rows: int = 6000, id_column:
             p, index, value = [], [], []
             for _, _, block in _blocks(batch, 0):
                 shapes = block.shapes()
-                p += [posterior.get(int(x), 0.5) for x in block.votes(shapes)]
+                p += [posterior.get(int(x), 0.5) for x in block.votes(shapes, model, block.abuse_hits(model))]
                 a, b = block.slots(shapes)
                 key = np.concatenate([block.row, block.row]) * SLOTS + np.concatenate([a, b])
                 found, n = np.unique(key, return_counts=True)
@@ -221,13 +235,15 @@ def fit(docs: DataFrame, labels: DataFrame | None, rows: int = 6000, id_column:
                 share = (n / np.maximum(block.count, 1)[found // SLOTS]).astype(np.float32)
                 index += np.split((found % SLOTS).astype(np.int32), cuts)
                 value += np.split(share, cuts)
-            yield pa.RecordBatch.from_arrays([pa.array(p, pa.float64()), pa.array(index, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))], ["p", "i", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(p, pa.float64()), pa.array(index, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))], ["h", "p", "i", "v"])
 
     text = F.col(text_column).cast("string").alias("text")
-    sample = docs.select(id_column, text).join(F.broadcast(chosen), id_column).select("text").mapInArrow(gather, "p double, i array<int>, v array<float>").toArrow()
+    sample = docs.select(id_column, text).join(F.broadcast(chosen), id_column).select("text", F.xxhash64(id_column, "text").alias("h"))
+    # an id may name many rows: no more than ``rows`` come to the driver
+    sample = sample.mapInArrow(gather, "h long, p double, i array<int>, v array<float>").orderBy("h").limit(rows).drop("h").toArrow()
     _descend(model, sample, seed)
-    if labels is not None:
-        _use_labels(model, docs, labels, rows, id_column, text_column, keep)
+    if known is not None:
+        _set_threshold(model, known, rows, keep)
     return model
 
 
@@ -259,11 +275,15 @@ def _descend(model: Model, sample: pa.Table, seed: int, epochs: int = 12, rate:
     model.weights, model.bias = w.astype(np.float32), float(b)
 
 
-def _use_labels(model: Model, docs: DataFrame, labels: DataFrame, rows: int, id_column: str, text_column: str, keep: float) -> None:
+def _labelled(docs: DataFrame, labels: DataFrame, rows: int, id_column: str, text_column: str) -> DataFrame:
+    """(text, quality, toxic, h) of the documents of at most ``rows`` labels."""
     first = labels.where(F.col(id_column).isNotNull()).dropDuplicates([id_column]).orderBy(F.xxhash64(F.lit(3), id_column), id_column).limit(rows)
     first = first.select(id_column, F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic"))
-    known = docs.select(id_column, F.col(text_column).cast("string").alias("text")).join(F.broadcast(first), id_column).select("text", "quality", "toxic")
+    known = docs.select(id_column, F.col(text_column).cast("string").alias("text")).join(F.broadcast(first), id_column)
+    return known.select("text", "quality", "toxic", F.xxhash64(id_column, "text").alias("h"))
 
+
+def _find_abuse(model: Model, known: DataFrame, rows: int) -> None:
     def stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic = np.asarray(batch.column(2).fill_null(0))
@@ -275,32 +295,41 @@ def _use_labels(model: Model, docs: DataFrame, labels: DataFrame, rows: int, id_
                     flag.append(toxic[a + pair[:, 1].astype(np.int64)])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key).view(np.int64)), pa.array(np.concatenate(flag).astype(np.int32))], ["h", "t"])
 
-    found = known.mapInArrow(stems, "h long, t int").groupBy("h").agg(F.sum("t").alias("t"), F.count("*").alias("n"))
-    found = found.where("t >= 8 and t >= 0.85 * n").orderBy(F.desc("t"), "h").limit(4096).collect()
-    model.abuse = np.sort(np.array([r["h"] for r in found], np.int64).view(np.uint64))
+    found = known.select("text", "quality", "toxic").mapInArrow(stems, "h long, t int").groupBy("h").agg(F.sum("t").alias("t"), F.count("*").alias("n"))
+    # eight toxic documents for each such word, of at most ``rows``: no more words than they hold
+    found = found.where("t >= 8 and t >= 0.85 * n").orderBy("h").collect()
+    h = np.array([r["h"] for r in found], np.int64).view(np.uint64)
+    order = np.argsort(h)
+    model.abuse = h[order]
+    model.abuse_weight = np.array([2 if r["t"] == r["n"] else 1 for r in found], np.int64)[order]
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [block.abuse_hits(model) for _, _, block in _blocks(batch, 0)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(np.concatenate(n) if n else np.zeros(0, np.int64))], ["t", "k"])
+
+    # how many clean documents have each weight: the least weight that nearly none has is bad
+    clean = known.where("toxic = 0").select("text", "toxic").mapInArrow(hits, "t int, k long").groupBy(F.least("k", F.lit(9)).alias("k")).count().collect()
+    total = sum(r["count"] for r in clean)
+    model.abuse_hits = next((k for k in range(1, 9) if sum(r["count"] for r in clean if r["k"] >= k) <= 0.002 * total), 9) if total else 2
+
 
+def _set_threshold(model: Model, known: DataFrame, rows: int, keep: float) -> None:
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score, hits = [], []
-            for _, _, block in _blocks(batch, 0):
-                score.append(block.score(model, block.shapes()))
-                hits.append(block.abuse_hits(model))
-            arrays = [np.concatenate(x) if x else np.zeros(0) for x in (score, hits)]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(arrays[0]), pa.array(arrays[1].astype(np.int64))], ["q", "t", "s", "k"])
+            score = [block.score(model, block.shapes()) for _, _, block in _blocks(batch, 0)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(np.concatenate(score) if score else np.zeros(0))], ["h", "q", "s"])
 
-    seen = known.mapInArrow(judge, "q int, t int, s double, k long").collect()
+    seen = known.select("text", "h", "quality").mapInArrow(judge, "h long, q int, s double").orderBy("h").limit(rows).collect()
     good, bad = np.sort([r["s"] for r in seen if r["q"] == 1]), np.sort([r["s"] for r in seen if r["q"] == 0])
     if len(good):
         limit = min(0.5, float(good[int(len(good) * (1 - keep))]))
         below = bad[bad < limit]
         model.threshold = (limit + float(below[int(0.995 * (len(below) - 1))])) / 2 if len(below) else limit
-    clean = [r["k"] for r in seen if r["t"] == 0]
-    while clean and model.abuse_hits < 8 and sum(k >= model.abuse_hits for k in clean) > 0.002 * len(clean):
-        model.abuse_hits += 1
 
 
 def judge(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Every row with the posterior of its votes, the scorer's probability, its abuse hits, and whether it is kept.
+    """Every row with the posterior of its votes, the scorer's probability, its abuse words' weight, and whether it is kept.
 
     Null and empty texts have no words and are rejected. Rows are independent: repeated rows give repeated
     results, an empty table none, other columns are ignored. There is no shuffle.
@@ -313,7 +342,8 @@ def judge(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
             out: list[list] = [[], [], [], []]
             for _, _, block in _blocks(batch, 1):
                 shapes = block.shapes()
-                found = (block.count, np.array([model.posterior.get(int(x), 0.5) for x in block.votes(shapes)]), block.score(model, shapes), block.abuse_hits(model))
+                abuse = block.abuse_hits(model)
+                found = (block.count, np.array([model.posterior.get(int(x), 0.5) for x in block.votes(shapes, model, abuse)]), block.score(model, shapes), abuse)
                 for column, x in zip(out, found, strict=True):
                     column.append(x)
             n, posterior, score, hits = (np.concatenate(x) if x else np.zeros(0) for x in out)

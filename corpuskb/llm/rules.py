@@ -204,16 +204,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, id_column: st
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = 6000, trees: int = 100, id_column: str = "doc_id", text_column: str = "text") -> Forest:
-    """A calibrated forest from at most ``rows`` labelled documents; without any it keeps all."""
+    """A calibrated forest from at most ``rows`` labelled documents; without any it keeps all.
+
+    Null ids and labels without a quality are left out, null and empty texts fail the base rules and don't count; of
+    repeated ids no more than ``rows`` rows are used.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s = _measure(batch, 0)
             ok = (s["n_words"] >= 20) & (100 * s["n_repeat_words"] <= 30 * s["n_words"])
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(ok), pa.array(list(features(s)), pa.list_(pa.float32()))], ["quality", "ok", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(ok), pa.array(list(features(s)), pa.list_(pa.float32()))], ["quality", "h", "ok", "x"])
 
-    got = labelled_sample(docs, labels, rows, id_column, text_column).select(text_column, F.col("quality").cast("int").alias("quality"), F.hash(id_column).alias("h"))
-    found = got.select(text_column, "quality").mapInArrow(run, "quality int, ok boolean, x array<float>").collect()
+    got = labelled_sample(docs, labels, rows, id_column, text_column).select(text_column, F.col("quality").cast("int").alias("quality"), F.xxhash64(id_column, text_column).alias("h"))
+    found = got.select(text_column, "quality", "h").mapInArrow(run, "quality int, h long, ok boolean, x array<float>").orderBy("h").limit(rows).collect()
     found.sort(key=lambda r: (r["quality"], r["x"]))
     pick = lambda q: np.array([r["x"] for r in found if r["quality"] == q and r["ok"]], np.float32).reshape(-1, 8)
     good, bad = pick(1), pick(0)

@@ -13,12 +13,14 @@ _written: list[str] = []
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    A local folder is set only where the session names none, as in tests on one machine.
+    Where the session names none, a local folder is set if all runs on one machine; on a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
