@@ -67,6 +67,11 @@ def chunks(raw: np.ndarray) -> np.ndarray:
 _MASKS = np.array([0] + [(1 << 8 * k) - 1 for k in range(1, 9)], np.uint64)
 
 
+def masks(length: np.ndarray) -> np.ndarray:
+    """What keeps so many of eight bytes."""
+    return _MASKS[length]
+
+
 def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every byte span: each eight bytes are mixed with their number before they are added.
 
