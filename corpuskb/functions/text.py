@@ -59,7 +59,39 @@ def duration(seconds: Column) -> Column:
     return F.when(s < 60, F.format_string("%ds", s)).when(s < 3600, F.format_string("%dm%02ds", minutes, rest)).otherwise(F.format_string("%dh%02dm%02ds", hours, minutes, rest))
 
 
-def looks_like_heading(line: Column) -> Column:
-    """At most 120 characters that are a chapter word with what follows, a roman or plain number, or four capitals or more."""
-    t = strip_text(line)
-    return (F.length(t) > 0) & (F.length(t) <= 120) & (t.rlike(r"(?iu)^(глава|часть|пролог|эпилог|chapter|part)( |$)") | t.rlike(r"^([IVXLCDM]+|[0-9]+)\.?$") | ((F.upper(t) == t) & t.rlike(r"(?U)\p{Lu}.*\p{Lu}.*\p{Lu}.*\p{Lu}")))
+def squeezed(value: Column) -> Column:
+    """Text with single spaces for runs of white space, none at its ends."""
+    return F.trim(F.regexp_replace(F.coalesce(value, F.lit("")), r"(?U)\s+", " "))
+
+
+def looks_like_heading(paragraph: Column) -> Column:
+    """At most 120 characters that are a chapter word with what follows, a roman or plain number, or capitals only, four or more."""
+    t = squeezed(paragraph)
+    letters = F.regexp_replace(t, "[^A-Za-zА-Яа-яЁё]", "")
+    named = t.rlike(r"(?iuU)^(глава|часть|книга|пролог|эпилог|послесловие|предисловие)\b.*$") | t.rlike(r"(?i)^[ivxlcdm]+[.)]?$") | t.rlike(r"^[0-9]+[.)]?$")
+    return (t != "") & (F.length(t) <= 120) & (named | ((F.length(letters) >= 4) & (F.upper(letters) == letters)))
+
+
+def is_scene_break(paragraph: Column) -> Column:
+    """Three to twelve marks of a separator and nothing else but white space."""
+    compact = F.regexp_replace(F.coalesce(paragraph, F.lit("")), r"(?U)\s+", "")
+    return (F.length(compact) <= 12) & compact.rlike(r"^[*#~\-_=•·.]{3,}$")
+
+
+def paragraph_preview(paragraph: Column, limit: int = 120) -> Column:
+    """A paragraph in one line; a long one as its head and its last 40 characters."""
+    t = squeezed(paragraph)
+    return F.when(F.length(t) <= limit, t).otherwise(F.concat(F.rtrim(F.substring(t, 1, min(160, limit - 50))), F.lit(" ... "), F.ltrim(F.substring(t, -40, 40))))
+
+
+def chunk_excerpt(text: Column, token_limit: int) -> Column:
+    """A chunk whole, or its head and tail if it has more tokens than the limit."""
+    t, n = F.coalesce(text, F.lit("")), max(token_limit * 4, 600)
+    edge = lambda c, pattern: F.regexp_replace(c, pattern, "")
+    cut = F.concat(edge(F.substring(t, 1, n), r"(?U)\s+$"), F.lit("\n...\n"), edge(F.when(F.length(t) <= n, t).otherwise(F.substring(t, -n, n)), r"(?U)^\s+"))
+    return F.when(estimate_tokens(t) <= token_limit, strip_text(t)).otherwise(strip_text(cut))
+
+
+def search_text(value: Column) -> Column:
+    """Lower-case text without quotes and dashes, white space squeezed, as quotations are looked up."""
+    return F.lower(squeezed(F.regexp_replace(F.coalesce(value, F.lit("")), r"[«»\"'\-—–]", "")))

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpuskb.functions.text import estimate_tokens, looks_like_heading, strip_text
+from corpuskb.functions.text import estimate_tokens, is_scene_break, looks_like_heading, strip_text
 
 
-def paragraphs(docs: DataFrame, separator: str = "\n") -> DataFrame:
-    """(doc_id, pos, paragraph) of the non-empty stripped parts of every text; null texts have none."""
+def paragraphs(docs: DataFrame, separator: str = r"(?U)\n\s*\n+") -> DataFrame:
+    """(doc_id, pos, paragraph) of the non-empty stripped parts of every text between blank lines; null texts have none."""
     parts = docs.select("doc_id", F.posexplode(F.split("text", separator)).alias("pos", "raw"))
     return parts.select("doc_id", "pos", strip_text(F.col("raw")).alias("paragraph")).where("paragraph <> ''")
 
@@ -38,8 +38,29 @@ def packed(docs: DataFrame, limit: int = 2500) -> DataFrame:
     return out.select("doc_id", "idx", "chunk_text", estimate_tokens(F.col("chunk_text")).alias("est_tokens"))
 
 
-def degenerate(docs: DataFrame, min_lines: int = 8) -> DataFrame:
-    """Texts of 200 characters or more in which one line makes up over 60 % of at least ``min_lines`` lines."""
-    parts = paragraphs(docs.where(F.length("text") >= 200))
-    each = parts.groupBy("doc_id", "paragraph").agg(F.count("*").alias("n"))
-    return each.groupBy("doc_id").agg(F.sum("n").alias("n_lines"), F.max("n").alias("top_lines")).where(f"n_lines >= {min_lines} and top_lines > 0.6 * n_lines")
+SECTION_BREAK = "[[SECTION_BREAK]]"
+
+
+def sections(parts: DataFrame) -> DataFrame:
+    """Paragraphs with the number of their section; breaks end one and go, a heading begins one unless it is the first."""
+    broken = (F.col("paragraph") == SECTION_BREAK) | is_scene_break(F.col("paragraph"))
+    order = W.partitionBy("doc_id").orderBy("pos")
+    marked = parts.select("*", broken.alias("_broken"), F.lag(broken, 1, True).over(order).alias("_after"))
+    begins = ~F.col("_broken") & (F.col("_after") | looks_like_heading(F.col("paragraph")))
+    so_far = order.rowsBetween(W.unboundedPreceding, 0)
+    return marked.withColumn("section", F.sum(begins.cast("int")).over(so_far)).where("not _broken").drop("_broken", "_after")
+
+
+def degenerate(docs: DataFrame, min_lines: int = 8, min_words: int = 20) -> DataFrame:
+    """Texts of 200 characters or more in which one line makes up over 60 % of the lines, or one run of four words over 35 % of all runs.
+
+    Both rules need a least number of lines or words; texts that neither fits are not returned.
+    """
+    long_ = docs.where(F.length("text") >= 200)
+    parts = paragraphs(long_, "\n").groupBy("doc_id", "paragraph").agg(F.count("*").alias("n"))
+    lines = parts.groupBy("doc_id").agg(F.sum("n").alias("n_lines"), F.max("n").alias("top_lines"))
+    words = F.filter(F.split(F.lower(strip_text(F.col("text"))), r"(?U)\s+"), lambda w: w != "")
+    runs = long_.select("doc_id", words.alias("w")).where(F.size("w") >= min_words)
+    runs = runs.select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 3), lambda k: F.array_join(F.slice("w", k, 4), " "))).alias("run"))
+    runs = runs.groupBy("doc_id", "run").agg(F.count("*").alias("n")).groupBy("doc_id").agg(F.sum("n").alias("n_runs"), F.max("n").alias("top_runs"))
+    return lines.join(runs, "doc_id", "full").where(f"n_lines >= {min_lines} and top_lines > 0.6 * n_lines or top_runs > 0.35 * n_runs")

@@ -11,7 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpuskb.functions.text import norm_text, text_hash12
+from corpuskb.functions.text import norm_text, strip_text, text_hash12
+from corpuskb.sources.scratch import stored
 
 
 def lag_pairs(turns: DataFrame) -> DataFrame:
@@ -34,10 +35,14 @@ def neighbour_window(turns: DataFrame, n: int = 1) -> DataFrame:
 
 
 def exact_first(pairs: DataFrame) -> DataFrame:
-    """The first pair of each (prompt, answer) hash in order of conversation and turn, by a combining aggregate."""
-    keyed = pairs.withColumn("pair_hash", text_hash12(F.concat(F.coalesce("prompt", F.lit("")), F.coalesce("answer", F.lit("")))))
+    """The first pair of each (prompt, answer) hash in order of conversation and turn, by a combining aggregate.
+
+    The whole digest tells pairs apart, its first digits are shown.
+    """
+    both = F.concat(F.coalesce("prompt", F.lit("")), F.coalesce("answer", F.lit("")))
+    keyed = pairs.select("*", text_hash12(both).alias("pair_hash"), F.md5(F.lower(strip_text(both))).alias("_digest"))
     columns = [c for c in pairs.columns if c not in ("conv_id", "turn")]
-    return keyed.groupBy("pair_hash").agg(F.min(F.struct("conv_id", "turn", *columns)).alias("x"), F.count("*").alias("n_copies")).select("x.*", "pair_hash", "n_copies")
+    return keyed.groupBy("_digest", "pair_hash").agg(F.min(F.struct("conv_id", "turn", *columns)).alias("x"), F.count("*").alias("n_copies")).select("x.*", "pair_hash", "n_copies")
 
 
 def _near(value: str, kept: list[str], ratio: float) -> bool:
@@ -84,7 +89,7 @@ def fuzzy_first_overall(pairs: DataFrame, text: str, order: list[str], window: i
     is that of one pass. Only a range's window is held. Null texts are empty.
     """
     ranged = pairs.repartitionByRange(parts, *order) if parts else pairs.repartitionByRange(*order)
-    dealt = ranged.select("*", F.spark_partition_id().alias("_part")).localCheckpoint()
+    dealt = stored(ranged.select("*", F.spark_partition_id().alias("_part")), "dealt")
     lasts = pairs.sparkSession.createDataFrame([], f"_part int, _pos int, {text} string")
     # rows of last texts have no other columns
     fields = T.StructType([*(T.StructField(f.name, f.dataType) for f in dealt.schema.fields), T.StructField("_pos", T.IntegerType())])
@@ -117,7 +122,8 @@ def fuzzy_first_overall(pairs: DataFrame, text: str, order: list[str], window: i
         # a range's last texts are the next one's guests
         own = dealt.where(F.col("_part").isin(*stale)).withColumn("_pos", F.lit(-1))
         rows = own.unionByName(lasts.where(F.col("_part").isin(*stale)), allowMissingColumns=True).withColumn("_own", F.col("_pos") < 0)
-        found = rows.repartition("_part").sortWithinPartitions("_part", "_own", "_pos", *order).select(*fields.names).mapInPandas(run, fields).localCheckpoint()
+        found = rows.repartition("_part").sortWithinPartitions("_part", "_own", "_pos", *order).select(*fields.names).mapInPandas(run, fields)
+        found = stored(found, "judged")
         judged |= {p: found for p in stale}
         ended = {r["_part"]: r["h"] for r in found.where("_pos >= 0").groupBy("_part").agg(F.md5(F.to_json(F.sort_array(F.collect_list(F.struct("_pos", text))))).alias("h")).collect()}
         changed = {p for p in ended if ended[p] != ends.get(p)}
@@ -127,7 +133,7 @@ def fuzzy_first_overall(pairs: DataFrame, text: str, order: list[str], window: i
         for p in changed & after.keys():
             mine = found.where((F.col("_pos") >= 0) & (F.col("_part") == p)).select(F.lit(after[p]).alias("_part"), "_pos", text)
             lasts = lasts.where(F.col("_part") != after[p]).unionByName(mine)
-        lasts = lasts.localCheckpoint()
+        lasts = stored(lasts, "lasts")
     out = dealt.where("false").drop("_part")
     for found in {id(f): f for f in judged.values()}.values():
         mine = [p for p, f in judged.items() if f is found]

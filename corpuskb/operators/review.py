@@ -14,10 +14,47 @@ def replay(ops: DataFrame) -> DataFrame:
     return ops.groupBy("entity_id").agg(F.max_by(F.struct("op_id", "after"), F.struct("ts", "op_id")).alias("x"), F.count("*").alias("n_ops")).where("x.after is not null").select("entity_id", "x.op_id", "x.after", "n_ops")
 
 
-def undo_last(ops: DataFrame) -> DataFrame:
-    """The log without each entity's last operation."""
-    last = ops.groupBy("entity_id").agg(F.max_by("op_id", F.struct("ts", "op_id")).alias("op_id"))
-    return ops.join(last, ["entity_id", "op_id"], "left_anti")
+def last_operation(ops: DataFrame) -> DataFrame:
+    """The latest operation of all by (ts, op_id); no row for an empty log."""
+    return ops.agg(F.max_by(F.struct(*ops.columns), F.struct("ts", "op_id")).alias("x")).where("x is not null").select("x.*")
+
+
+def undo_last(ops: DataFrame, op_id) -> DataFrame:
+    """The log (op_id, ts, entity_id, before, after) with the inverse of its latest operation appended under a new id.
+
+    Nothing is ever removed, so undoing twice does the operation again.
+    """
+    inverse = last_operation(ops).select(op_id(F.col("op_id")).alias("op_id"), "ts", "entity_id", F.col("after").alias("before"), F.col("before").alias("after"))
+    return ops.unionByName(inverse)
+
+
+def listing(rows: DataFrame, filters: dict, query: str, searched: list[str], order: list, limit: int, offset: int = 0) -> DataFrame:
+    """One page of the rows that equal all given filters and match the search, each with the total before the cut."""
+    for column, value in filters.items():
+        if value:
+            rows = rows.where(F.col(column) == value)
+    rows = search(rows, query, searched)
+    total = rows.agg(F.count("*").alias("total"))
+    # one number
+    return page(rows.crossJoin(F.broadcast(total)), order, limit, offset)
+
+
+def labelled_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges (source, target, ...) with the labels of their ends; an unknown end is its own label."""
+    names = lambda c: nodes.select(F.col("node_id").alias(c), F.col("label").alias(f"{c}_label"))
+    out = edges.join(names("source"), "source", "left").join(names("target"), "target", "left")
+    return out.withColumns({f"{c}_label": F.coalesce(f"{c}_label", c) for c in ("source", "target")})
+
+
+def overview(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(kind, type, n) of a graph's nodes and edges; those without a type are unknown, or related_to."""
+    typed = lambda rows, kind, other: rows.groupBy(F.coalesce(F.nullif("type", F.lit("")), F.lit(other)).alias("type")).agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "type", "n")
+    return typed(nodes, "node", "unknown").unionByName(typed(edges, "edge", "related_to"))
+
+
+def merge_theme(rows: DataFrame, source: str, target: str) -> DataFrame:
+    """The rows with one theme id in place of another; ids stay in order and come once."""
+    return rows.withColumn("theme_ids", F.array_distinct(F.transform("theme_ids", lambda t: F.when(t == source, target).otherwise(t))))
 
 
 def search(rows: DataFrame, query: str, columns: list[str]) -> DataFrame:

@@ -105,28 +105,31 @@ def fuzzy_pair_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "sample_chunk_links",
     f"""WITH p AS ({_PAIRS}), k AS (SELECT conv_id, turn, {_NORM.format("coalesce(prompt, '')")} AS kp, {_NORM.format('answer')} AS ka, conv_id * 1000 + turn AS chunk_id FROM p),
-    i AS (SELECT * FROM k WHERE conv_id % 3 <> 0), e AS (SELECT kp, ka, min(chunk_id) AS exact_id FROM i GROUP BY kp, ka), l AS (SELECT ka, min(chunk_id) AS loose_id FROM i GROUP BY ka)
+    e AS (SELECT kp, ka, min(chunk_id) AS exact_id FROM k GROUP BY kp, ka), l AS (SELECT ka, min(chunk_id) AS loose_id FROM k GROUP BY ka)
     SELECT conv_id, turn, exact_id, loose_id, coalesce(exact_id, loose_id) AS chunk_id FROM (SELECT conv_id, turn, kp, ka FROM k) k LEFT JOIN e USING (kp, ka) LEFT JOIN l USING (ka)""",
 )
 def sample_chunk_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = lag_pairs(spark, sf_dir)
-    index = pairs.where("conv_id % 3 <> 0").select("prompt", "answer", (F.col("conv_id") * 1000 + F.col("turn")).alias("chunk_id"))
+    index = pairs.select("prompt", "answer", (F.col("conv_id") * 1000 + F.col("turn")).alias("chunk_id"))
     return dialogues.linked_samples(pairs, index).select("conv_id", "turn", "exact_id", "loose_id", "chunk_id")
 
 
-@query("paragraphs", _PARTS)
+_BLANK = "regexp_split_to_array(text, '\\n\\s*\\n+')"
+
+
+@query("paragraphs", f"SELECT doc_id, pos, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS paragraph FROM (SELECT doc_id, unnest({_BLANK}) AS raw, generate_subscripts({_BLANK}, 1) - 1 AS pos FROM documents) WHERE regexp_replace(raw, '^\\s+|\\s+$', '', 'g') <> ''")
 def paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.paragraphs(_table(spark, sf_dir, "documents"))
 
 
 @query(
     "chapter_map",
-    f"""WITH p AS ({_PARTS}), h AS (SELECT *, CASE WHEN length(paragraph) <= 120 AND (regexp_matches(paragraph, '^(глава|часть|пролог|эпилог|chapter|part)( |$)', 'i') OR regexp_matches(paragraph, '^([IVXLCDM]+|[0-9]+)\\.?$')
-        OR (upper(paragraph) = paragraph AND regexp_matches(paragraph, '\\p{{Lu}}.*\\p{{Lu}}.*\\p{{Lu}}.*\\p{{Lu}}'))) THEN paragraph END AS heading FROM p)
+    f"""WITH p AS (SELECT *, trim(regexp_replace(paragraph, '\\s+', ' ', 'g')) AS t FROM ({_PARTS})), h AS (SELECT *, CASE WHEN length(t) BETWEEN 1 AND 120 AND (regexp_matches(t, '(?i)^(глава|часть|книга|пролог|эпилог|послесловие|предисловие)([^0-9a-zа-яё_].*)?$') OR regexp_matches(t, '(?i)^[ivxlcdm]+[.)]?$') OR regexp_matches(t, '^[0-9]+[.)]?$')
+        OR (length(regexp_replace(t, '[^A-Za-zА-Яа-яЁё]', '', 'g')) >= 4 AND upper(regexp_replace(t, '[^A-Za-zА-Яа-яЁё]', '', 'g')) = regexp_replace(t, '[^A-Za-zА-Яа-яЁё]', '', 'g'))) THEN paragraph END AS heading FROM p)
     SELECT doc_id, pos, coalesce(last_value(heading IGNORE NULLS) OVER w, '-') AS chapter, count(heading) OVER w AS section FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING)""",
 )
 def chapter_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunks.with_chapter(paragraphs(spark, sf_dir)).drop("paragraph")
+    return chunks.with_chapter(chunks.paragraphs(_table(spark, sf_dir, "documents"), "\n")).drop("paragraph")
 
 
 @query("chunk_packing")
@@ -137,8 +140,12 @@ def chunk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "degenerate_texts",
-    f"""WITH p AS (SELECT p.* FROM ({_PARTS}) p JOIN documents d USING (doc_id) WHERE length(d.text) >= 200), e AS (SELECT doc_id, paragraph, count(*) AS n FROM p GROUP BY ALL)
-    SELECT doc_id, sum(n)::BIGINT AS n_lines, max(n) AS top_lines FROM e GROUP BY doc_id HAVING sum(n) >= 8 AND max(n) > 0.6 * sum(n)""",
+    f"""WITH p AS (SELECT p.* FROM ({_PARTS}) p JOIN documents d USING (doc_id) WHERE length(d.text) >= 200), e AS (SELECT doc_id, paragraph, count(*) AS n FROM p GROUP BY ALL),
+    l AS (SELECT doc_id, sum(n)::BIGINT AS n_lines, max(n) AS top_lines FROM e GROUP BY doc_id),
+    w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '') AS w FROM documents WHERE length(text) >= 200),
+    r AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 2), lambda k: array_to_string(w[k:k + 3], ' '))) AS run FROM w WHERE len(w) >= 20),
+    g AS (SELECT doc_id, sum(n)::BIGINT AS n_runs, max(n) AS top_runs FROM (SELECT doc_id, run, count(*) AS n FROM r GROUP BY ALL) GROUP BY doc_id)
+    SELECT doc_id, n_lines, top_lines, n_runs, top_runs FROM l FULL JOIN g USING (doc_id) WHERE n_lines >= 8 AND top_lines > 0.6 * n_lines OR top_runs > 0.35 * n_runs""",
 )
 def degenerate_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.degenerate(_table(spark, sf_dir, "documents"))
@@ -161,9 +168,16 @@ def oplog_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.replay(_ops(spark, sf_dir))
 
 
-@query("oplog_undo", _replayed(f"SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY ts DESC, op_id DESC) AS k FROM ({_OPS})) WHERE k > 1"))
+#: The log with what each operation found.
+_LOG = f"SELECT op_id::DOUBLE AS op_id, ts, entity_id, lag(after) OVER (PARTITION BY entity_id ORDER BY ts, op_id) AS before, after FROM ({_OPS})"
+
+
+@query("oplog_undo", _replayed(f"WITH l AS ({_LOG}) SELECT * FROM l UNION ALL (SELECT op_id + 0.5, ts, entity_id, after, before FROM l ORDER BY ts DESC, op_id DESC LIMIT 1)"))
 def oplog_undo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review.replay(review.undo_last(_ops(spark, sf_dir)))
+    """The state after the latest operation of all has been undone by its inverse."""
+    before = F.lag("after").over(W.partitionBy("entity_id").orderBy("ts", "op_id"))
+    log = _ops(spark, sf_dir).select(F.col("op_id").cast("double").alias("op_id"), "ts", "entity_id", before.alias("before"), "after")
+    return review.replay(review.undo_last(log, lambda op: op + 0.5))
 
 
 @query("event_listing", "SELECT event_id, event_type, value FROM events WHERE event_type = 'error' AND contains(props, '7') ORDER BY event_id DESC LIMIT 50 OFFSET 10")
@@ -232,17 +246,6 @@ def _facts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(_FACTS, "ord int, category string, subject string, fact string")
 
 
-def _scope_sql() -> str:
-    words = f"string_split({_NORM.format('fact')}, ' ')"
-    cases = " ".join(f"WHEN list_has_any({words}, [{', '.join(repr(m) for m in markers)}]) THEN '{scope}'" for scope, markers in knowledge.SCOPES)
-    return f"CASE {cases} WHEN category IN {knowledge.TIMELESS} THEN 'timeless' ELSE 'unclear' END"
-
-
-@query("fact_time_scope", f"SELECT ord, {_scope_sql()} AS time_scope FROM {_FACT_SQL}")
-def fact_time_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _facts(spark).select("ord", knowledge.time_scope(F.col("fact"), F.col("category")).alias("time_scope"))
-
-
 @query(
     "subject_aliases",
     f"""WITH k AS (SELECT DISTINCT {_NORM.format('subject')} AS key, subject FROM {_FACT_SQL}), l AS (SELECT string_split(key, ' ')[1] AS alias, min(subject) AS canonical FROM k WHERE key LIKE '% %' GROUP BY 1 HAVING count(*) = 1)
@@ -264,3 +267,7 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.regexp_extract_all("html", F.lit("<p[ >]"), 0)).cast("long").alias("n_paragraphs"),
         F.length(F.trim(F.regexp_replace(plain, r"\s+", " "))).cast("long").alias("text_chars"),
     )
+
+
+# registers the queries of rules next to these
+from corpuskb.plans import rules  # noqa: E402, F401

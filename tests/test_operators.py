@@ -9,7 +9,8 @@ import zipfile
 from pyspark.sql import functions as F
 
 from corpuskb.functions.text import canonical_book_name, duration
-from corpuskb.operators import chunks, dialogues, knowledge, review
+from corpuskb.functions import facts
+from corpuskb.operators import chunks, dialogues, knowledge, metrics, review
 from corpuskb.sources import files
 from corpuskb.streaming import event_log
 
@@ -87,11 +88,15 @@ def test_speech_lines(spark):
     assert [tuple(r) for r in found] == [("b", 1, "Он вошел.", "Привет, друг!")]
 
 
-def test_undo_restores_what_was_before(spark):
+def test_undo_appends_the_inverse_of_the_latest_operation_of_all(spark):
     at = datetime.datetime(2024, 1, 1)
-    ops = spark.createDataFrame([("1", at, "x", "pending"), ("2", at, "x", "approved"), ("3", at, "y", "pending"), ("4", at, "y", None)], "op_id string, ts timestamp, entity_id string, after string")
+    ops = spark.createDataFrame([("1", at, "x", None, "pending"), ("2", at, "x", "pending", "approved"), ("3", at, "y", None, "pending"), ("4", at, "y", "pending", None)], "op_id string, ts timestamp, entity_id string, before string, after string")
     state = lambda log: {r["entity_id"]: r["after"] for r in review.replay(log).collect()}
-    assert state(ops) == {"x": "approved"} and state(review.undo_last(ops)) == {"x": "pending", "y": "pending"}
+    undone = review.undo_last(ops, lambda op: F.concat(op, F.lit("u")))
+    assert state(ops) == {"x": "approved"} and state(undone) == {"x": "approved", "y": "pending"}
+    again = review.undo_last(undone, lambda op: F.concat(op, F.lit("u")))
+    assert again.count() == 6 and state(again) == state(ops)
+    assert review.undo_last(ops.limit(0), lambda op: op).count() == 0
 
 
 def test_books_are_read_and_flattened(spark, tmp_path):
@@ -125,3 +130,21 @@ def test_stream_equals_batch_up_to_the_watermark(spark, tmp_path):
 def test_names_and_durations(spark):
     row = spark.range(1).select(canonical_book_name(F.lit("a/b.fb2.zip")), duration(F.lit(59)), duration(F.lit(61)), duration(F.lit(3661))).first()
     assert tuple(row) == ("a/b", "59s", "1m01s", "1h01m01s")
+
+
+def test_parse_errors_are_counted_as_lines(spark):
+    text = "# head\n- category=place | subject=x | fact=y\ncategory=place | subject=x\n[list]\n{object}\nplain words\n\n2) category=a | fact=b"
+    rows = spark.createDataFrame([(text,), (None,), ("",)], "t string")
+    assert [r[0] for r in rows.select(metrics.parse_errors(F.col("t"))).collect()] == [2, 0, 0]
+
+
+def test_signals_need_all_their_words_in_one_fact(spark):
+    found = spark.createDataFrame([(1, "Сэр Макс", "Он живёт (там) в доме"), (1, "Дом", "стоит"), (2, None, None)], "case_id int, subject string, fact string")
+    signals = spark.createDataFrame([(1, 1, ["макс"], ["живет", "доме"]), (1, 2, ["макс"], ["стоит"]), (2, 1, [], []), (3, 1, ["x"], [])], "case_id int, n int, subject_tokens array<string>, fact_tokens array<string>")
+    assert {(r["case_id"], r["n"]): r["hit"] for r in metrics.signal_hits(found, signals).collect()} == {(1, 1): True, (1, 2): False, (2, 1): False, (3, 1): False}
+
+
+def test_places_lose_prepositions_and_take_the_nominative(spark):
+    cases = {"в Доме у Моста": "Дом у Моста", "На улице": "улица", "к": "к", "УЛИЦУ Роз.": "УЛИЦА Роз", None: "", " от до ": "до", "Еллафах": "Еллафах"}
+    rows = spark.createDataFrame([(k,) for k in cases], "s string")
+    assert [r[0] for r in rows.select(facts.canonical_place(F.col("s"))).collect()] == list(cases.values())
