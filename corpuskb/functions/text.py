@@ -95,3 +95,23 @@ def chunk_excerpt(text: Column, token_limit: int) -> Column:
 def search_text(value: Column) -> Column:
     """Lower-case text without quotes and dashes, white space squeezed, as quotations are looked up."""
     return F.lower(squeezed(F.regexp_replace(F.coalesce(value, F.lit("")), r"[«»\"'\-—–]", "")))
+
+
+def clean_json(value: Column) -> Column:
+    """A model's answer without a byte-order mark, a fence of code around it and the word json before it."""
+    t = F.regexp_replace(strip_text(value), "^﻿+", "")
+    bare = F.regexp_replace(F.regexp_replace(t, r"(?iU)^```(?:json)?\s*", ""), r"(?U)\s*```$", "")
+    return strip_text(F.regexp_replace(F.when(t.startswith("```"), bare).otherwise(t), r"(?iU)^\s*json\s*:?\s*", ""))
+
+
+def primary_chunk(payload: Column) -> Column:
+    """The chunk that a payload marks as the primary one, without its context and glossary; all of it if it marks none."""
+    text = F.coalesce(payload, F.lit(""))
+    marked = r"(?sU)\[PRIMARY CHUNK[^\]]*\]\s*\n(.*?)(?=\n\s*\[(?:SUPPORTING CONTEXT|SCENE GLOSSARY)\]|\z)"
+    return F.when(text.rlike(marked), strip_text(F.regexp_extract(text, marked, 1))).otherwise(text)
+
+
+def messages(system: Column, user: Column, assistant: Column) -> Column:
+    """A conversation as (role, content) in order; an empty system text is left out."""
+    said = lambda role, text: F.struct(F.lit(role).alias("role"), strip_text(text).alias("content"))
+    return F.filter(F.array(said("system", system), said("user", user), said("assistant", assistant)), lambda m: (m["role"] != "system") | (m["content"] != ""))

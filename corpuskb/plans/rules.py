@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskb.functions import facts, names
-from corpuskb.functions.text import chunk_excerpt, is_scene_break, looks_like_heading, paragraph_preview, search_text
+from corpuskb.functions.text import chunk_excerpt, clean_json, is_scene_break, looks_like_heading, messages, paragraph_preview, primary_chunk, search_text
 from corpuskb.operators import chunks, metrics, review
 from corpuskb.plans.registry import _NORM, _PARTS, _table, query
 
@@ -329,3 +329,20 @@ def case_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = _table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("model"), F.col("l_discount").cast("double").alias("hit_rate"), F.col("l_tax").cast("double").alias("precision"), F.col("l_quantity").cast("double").alias("time_sec"), (F.col("l_linenumber") % 3).alias("parse_errors"))
     out = metrics.aggregates(cases)
     return out.select("model", *(F.round(c, k).alias(c) for c, k in (("hit_rate", 6), ("time_sec", 4), ("reliability", 6), ("hours", 4), ("quality", 6))))
+
+
+_STRIPPED = "regexp_replace({0}, '^\\s+|\\s+$', '', 'g')"
+
+
+@query(
+    "answer_texts",
+    f"""SELECT doc_id, md5({_STRIPPED.format("coalesce(text, '')")}) AS cleaned, md5({_STRIPPED.format("coalesce(text, '')")}) AS primary_text,
+    md5(CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'system=' || lang || '|' END || 'user=' || source || '|assistant=' || {_STRIPPED.format("coalesce(text, '')")}) AS said FROM documents""",
+)
+def answer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts out of fences of code, out of extraction payloads, and as conversations."""
+    text, k = F.coalesce("text", F.lit("")), F.col("doc_id") % 3
+    fenced = F.when(k == 0, F.concat(F.lit("\ufeff```json\n"), text, F.lit("\n```"))).when(k == 1, F.concat(F.lit(" JSON: "), text)).otherwise(text)
+    payload = F.when(k == 0, F.concat(F.lit("[PRIMARY CHUNK #1]\n"), text, F.lit("\n\n[SUPPORTING CONTEXT]\nother"))).when(k == 1, F.concat(F.lit("[PRIMARY CHUNK]\n"), text, F.lit("\n[SCENE GLOSSARY]\n- x"))).otherwise(F.trim(text))
+    told = messages(F.when(F.col("doc_id") % 2 == 1, F.col("lang")), F.col("source"), text)
+    return _table(spark, sf_dir, "documents").select("doc_id", F.md5(clean_json(fenced)).alias("cleaned"), F.md5(F.regexp_replace(primary_chunk(payload), r"^\s+|\s+$", "")).alias("primary_text"), F.md5(F.array_join(F.transform(told, lambda m: F.concat(m["role"], F.lit("="), m["content"])), "|")).alias("said"))
