@@ -86,10 +86,8 @@ def deep_shallow_sort(strings: list[bytes]) -> tuple[list[int], list[int]]:
             order.append(group[0])
             prefix.append(before)
             continue
+        # up to three strings are in order after one comparison each, at any depth
         if depth >= SHALLOW or len(group) <= 3:
-            if depth < SHALLOW:
-                _blind_trie(strings, group, depth, order, prefix, before)
-                continue
             _blind_trie(strings, group, depth, order, prefix, before)
             continue
         pivot = strings[group[len(group) // 2]][depth : depth + STEP]
@@ -105,13 +103,3 @@ def deep_shallow_sort(strings: list[bytes]) -> tuple[list[int], list[int]]:
     if prefix:
         prefix[0] = 0
     return order, prefix
-
-
-def best_prefixes(strings: list[bytes]) -> list[int]:
-    """Each string's longest common prefix with any other one."""
-    order, prefix = deep_shallow_sort(strings)
-    out = [0] * len(strings)
-    for j in range(1, len(order)):
-        out[order[j]] = max(out[order[j]], prefix[j])
-        out[order[j - 1]] = max(out[order[j - 1]], prefix[j])
-    return out
