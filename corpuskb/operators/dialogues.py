@@ -141,14 +141,6 @@ def fuzzy_first_overall(pairs: DataFrame, text: str, order: list[str], window: i
     return out
 
 
-def direct_speech(lines: DataFrame) -> DataFrame:
-    """Lines of speech from (book, line_num, line): those that begin with a dash, without it, five characters at least, with the line before."""
-    before = F.lag("line").over(W.partitionBy("book").orderBy("line_num"))
-    said = F.regexp_replace(F.col("line"), r"(?U)^\s*[—–-]\s*", "")
-    out = lines.select("book", "line_num", before.alias("context_before"), said.alias("speech"), F.col("line").rlike(r"(?U)^\s*[—–]|^- ").alias("spoken"))
-    return out.where("spoken and length(speech) >= 5").select("book", "line_num", "context_before", "speech")
-
-
 def linked_samples(samples: DataFrame, index: DataFrame) -> DataFrame:
     """Samples (prompt, answer) with the chunk of their exact key, else of their answer alone; the first chunk of a key wins."""
     keyed = lambda df: df.select("*", norm_text(F.col("prompt")).alias("kp"), norm_text(F.col("answer")).alias("ka"))

@@ -86,3 +86,26 @@ def parse_errors(response: Column) -> Column:
     skipped = lambda x: (x == "") | x.startswith("#") | (x.startswith("[") & x.endswith("]"))
     wrong = lambda x: ~skipped(x) & F.when(F.contains(x, F.lit("|")), ~(named(x, "category") & named(x, "fact"))).otherwise(~x.startswith("{"))
     return F.size(F.filter(lines, wrong)).cast("long")
+
+
+def best_models(results: DataFrame) -> DataFrame:
+    """(pick, model): the fastest, the best, and the pair of them, of results (ord, model, n_cases, hit_rate, offload, quality_speed, quality).
+
+    Only models with cases and hits count. The fastest is one without offload if there is such a one; where it is also the
+    best, the second best stands beside it. Of equals the first by ``ord`` is taken.
+    """
+    valid = results.where("n_cases > 0 and hit_rate > 0")
+    top = lambda score: F.max_by("model", F.struct(F.col(score), -F.col("ord")))
+    gpu = F.max_by(F.when(F.coalesce("offload", F.lit(1.0)) >= 0.99, F.col("model")), F.when(F.coalesce("offload", F.lit(1.0)) >= 0.99, F.struct(F.col("quality_speed"), -F.col("ord"))))
+    # one row of two names
+    firsts = valid.agg(F.coalesce(gpu, top("quality_speed")).alias("fast"), top("quality").alias("best"))
+    other = F.when(F.col("model") != F.col("best"), F.struct(F.col("quality"), -F.col("ord")))
+    out = valid.crossJoin(F.broadcast(firsts)).agg(F.first("fast").alias("fast"), F.first("best").alias("best"), F.max_by("model", other).alias("next"))
+    second = F.when(F.col("fast") != F.col("best"), F.col("best")).otherwise(F.when(F.col("next") != F.col("best"), F.col("next")))
+    named = lambda pick, model: F.struct(F.lit(pick).alias("pick"), model.alias("model"))
+    return out.select(F.inline(F.array(named("speed", F.col("fast")), named("quality", F.col("best")), named("second", second)))).where("model is not null")
+
+
+def run_stats(traces: DataFrame) -> DataFrame:
+    """(run_id, n, latest_at) of traces (run_id, at)."""
+    return traces.groupBy("run_id").agg(F.count("*").alias("n"), F.max("at").alias("latest_at"))

@@ -269,5 +269,5 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# registers the queries of rules next to these
-from corpuskb.plans import rules  # noqa: E402, F401
+# registers the queries of rules and of speech next to these
+from corpuskb.plans import rules, spoken  # noqa: E402, F401

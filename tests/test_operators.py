@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpuskb.functions.text import canonical_book_name, duration
 from corpuskb.functions import facts
-from corpuskb.operators import chunks, dialogues, knowledge, metrics, review
+from corpuskb.operators import chunks, dialogues, knowledge, metrics, review, speech, timeline
 from corpuskb.sources import files
 from corpuskb.streaming import event_log
 
@@ -83,9 +83,47 @@ def test_line_protocol(spark):
 
 
 def test_speech_lines(spark):
-    lines = [("b", 0, "Он вошел."), ("b", 1, "— Привет, друг!"), ("b", 2, "— Да"), ("b", 3, None)]
-    found = dialogues.direct_speech(spark.createDataFrame(lines, "book string, line_num int, line string")).collect()
-    assert [tuple(r) for r in found] == [("b", 1, "Он вошел.", "Привет, друг!")]
+    told = "Он вошел.\n\n— Привет, друг! — сказал Джон Смит. — Как дела?..\n— Да\nТихо.\n-\u00a0Хорошо, — ответил я.\nКонец"
+    texts = spark.createDataFrame([(1, told), (2, None), (3, "")], "doc_id long, text string")
+    found = speech.direct_speech(texts, "doc_id")
+    assert [tuple(r)[:5] for r in found.orderBy("line_num").collect()] == [
+        (1, 2, "Джон Смит", "Привет, друг! Как дела?", "Он вошел."),
+        (1, 5, "Макс", "-\u0020Хорошо,", "— Да Тихо."),
+    ]
+    assert speech.pairs_from_speech(found, "doc_id").count() == 0
+    long = found.withColumn("text", F.rpad("text", 20, "!"))
+    assert [tuple(r) for r in speech.pairs_from_speech(long, "doc_id").collect()] == [(1, 5, "[Джон Смит]: Привет, друг! Как де", "-\u0020Хорошо,!!!!!!!!!!!")]
+
+
+def test_monologues_and_their_pairs(spark):
+    own = "Честно говоря, мне было страшно. " + "Никто не пришел, и долгая ночь шла своим чередом до самого утра."
+    texts = spark.createDataFrame([(1, own + "\n\n" + "x" * 100 + "\n— " + own), (2, None), (3, "я")], "doc_id long, text string")
+    found = speech.monologues(texts, "doc_id")
+    assert [tuple(r) for r in found.collect()] == [(1, 0, own, 2, 1)]
+    assert [tuple(r) for r in speech.pairs_from_monologues(found, "doc_id").collect()] == [(1, 0, "[Расскажи, что ты думаешь о: Честно говоря, мне было страшно]", own)]
+
+
+def test_style_candidates_fall_back_to_all(spark):
+    rows = spark.createDataFrame([("short",), (None,)], "text string")
+    assert speech.style_candidates(rows, "text").count() == 2
+    assert speech.style_candidates(rows.union(spark.createDataFrame([("y" * 31,)], "text string")), "text").count() == 1
+
+
+def test_timeline_groups_and_edges(spark):
+    facts = spark.createDataFrame([("b.txt", "", 3), ("b.txt", "", 3), ("b.txt", " one ", None), ("", "one", 1), (None, None, 2)], "book string, chapter string, chunk_idx long")
+    assert sorted(tuple(r)[2:] for r in timeline.groups(facts).collect()) == [(1, 0, None), (2, 1, 3)]
+    chunks = spark.createDataFrame([("b.txt", k) for k in range(9)], "book string, idx long")
+    assert sorted((r["idx"], r["place"]) for r in timeline.group_chunks(facts, chunks, 4, 6).collect()) == [(k, k + 1) for k in range(6)]
+    edges = [(1, "a", "b", "Before", [2, 1], " x ", ""), (2, "a", "b", "before", [1, 2], "y", "inferred"), (3, "a", "a", "before", None, "", ""), (4, "a", "", "before", None, "", ""), (5, "a", "b", "nothing", None, None, None)]
+    rows = spark.createDataFrame(edges, "n long, source string, target string, type string, chunk_indices array<bigint>, evidence string, confidence string").withColumns({"book": F.lit("b"), "chapter": F.lit("")})
+    found = sorted((r["type"], r["chunk_indices"], r["evidence"], r["confidence"]) for r in timeline.unique_edges(rows, "n").collect())
+    assert found == [("before", [1, 2], "x", "explicit"), ("related_to", [], "", "explicit")]
+
+
+def test_best_models_of_one_and_of_none(spark):
+    rows = spark.createDataFrame([(1, "m", 3, 1.0, None, 0.5, 0.5), (2, "n", 0, 1.0, 1.0, 9.0, 9.0)], "ord int, model string, n_cases int, hit_rate double, offload double, quality_speed double, quality double")
+    assert [tuple(r) for r in metrics.best_models(rows).collect()] == [("speed", "m"), ("quality", "m")]
+    assert metrics.best_models(rows.where("n_cases = 0")).count() == 0
 
 
 def test_undo_appends_the_inverse_of_the_latest_operation_of_all(spark):
