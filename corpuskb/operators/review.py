@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpuskb.functions.text import norm_text
+from corpuskb.functions.text import norm_text, strip_text
 
 
 def replay(ops: DataFrame) -> DataFrame:
@@ -28,6 +28,63 @@ def undo_last(ops: DataFrame, op_id) -> DataFrame:
     return ops.unionByName(inverse)
 
 
+def applied(base: DataFrame, ops: DataFrame) -> DataFrame:
+    """(entity_id, record) of base records (entity_id, record) after a log (op_id, ts, entity_id, after).
+
+    The last operation by (ts, op_id) replaces the record, a null ``after`` deletes it; operations without an id or an entity count for nothing.
+    """
+    valid = ops.where("op_id is not null and op_id <> '' and entity_id is not null and entity_id <> ''")
+    last = valid.groupBy("entity_id").agg(F.max_by(F.struct("after"), F.struct("ts", "op_id")).alias("op"))
+    out = base.join(last, "entity_id", "full").select("entity_id", F.when(F.col("op").isNotNull(), F.col("op.after")).otherwise(F.col("record")).alias("record"))
+    return out.where("record is not null")
+
+
+def updates(state: DataFrame, patches: DataFrame, fields: list[str]) -> DataFrame:
+    """(entity_id, before, after) of the records that patches (entity_id, patch map, theme_ids) change; ids without a record are left out.
+
+    Only the named text fields are taken, without outer white space; a null list of themes keeps the old one, another is taken with each theme once.
+    """
+    new = patches.select("entity_id", "patch", F.col("theme_ids").alias("__themes"))
+    taken = [F.when(F.map_contains_key("patch", f), strip_text(F.col("patch")[f])).otherwise(F.col(f)).alias(f) for f in fields]
+    themes = F.coalesce(F.array_distinct("__themes"), "theme_ids").alias("theme_ids")
+    return state.join(new, "entity_id").select("entity_id", F.struct(*fields, "theme_ids").alias("before"), F.struct(*taken, themes).alias("after"))
+
+
+def relations_of(relations: DataFrame, ids: DataFrame) -> DataFrame:
+    """The relations (source, target, ...) at either end of each of some ids, once where both ends are the same: two equal joins, no condition with ``or``."""
+    wanted = ids.select(F.col(ids.columns[0]).alias("fact_id"))
+    at = lambda end, rows: rows.join(wanted, F.col(end) == F.col("fact_id"))
+    return at("source", relations).unionByName(at("target", relations.where("source <> target")))
+
+
+def linked(samples: DataFrame, key: str, ids: str, rows: DataFrame, row_id: str) -> DataFrame:
+    """(key, place, columns of rows) of the rows that a sample's list of ids names, in the list's order; unknown ids are left out."""
+    return samples.select(key, F.posexplode(ids).alias("place", row_id)).join(rows, row_id)
+
+
+def suggestions(answers: DataFrame, text: str) -> DataFrame:
+    """The columns of answers but their text, with (line_no, action, fact_id, category, subject, fact, time_scope, reason) of each line that says keep or drop.
+
+    What follows the last field belongs to the reason. Lines with too few fields or another verdict are dropped; null answers have no lines.
+    """
+    lines = answers.select(*(c for c in answers.columns if c != text), F.posexplode(F.split(F.col(text), r"\R")).alias("line_no", "__line"))
+    parts = F.transform(F.split(strip_text(F.col("__line")), r"\|"), strip_text)
+    lines = lines.where(F.contains("__line", F.lit("|"))).withColumn("__parts", parts).withColumn("action", F.lower(F.col("__parts")[0]))
+    keep, n = F.col("action") == "keep", F.size("__parts")
+    lines = lines.where(keep & (n >= 7) | (F.col("action") == "drop") & (n >= 3))
+    fields = {name: F.when(keep, F.get("__parts", F.lit(k))) for k, name in enumerate(("category", "subject", "fact", "time_scope"), 2)}
+    rest = F.slice("__parts", F.when(keep, 7).otherwise(3), n)
+    return lines.withColumns({"fact_id": F.col("__parts")[1], **fields, "reason": strip_text(F.array_join(rest, "|"))}).drop("__line", "__parts")
+
+
+def appended(existing: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """All existing rows, and of the new ones the first by order of each key that none of these has; null keys are equal to each other."""
+    one = F.struct(*keys)
+    fresh = new.withColumn("__key", one).join(existing.select(one.alias("__key")).distinct(), "__key", "left_anti")
+    first = fresh.groupBy("__key").agg(F.min_by(F.struct(*new.columns), F.struct(*order)).alias("x")).select("x.*")
+    return existing.unionByName(first)
+
+
 def listing(rows: DataFrame, filters: dict, query: str, searched: list[str], order: list, limit: int, offset: int = 0) -> DataFrame:
     """One page of the rows that equal all given filters and match the search, each with the total before the cut."""
     for column, value in filters.items():

@@ -1,4 +1,4 @@
-"""Queries of speech, monologues, training pairs, timeline groups and reports; their SQL is written by hand.
+"""Queries of speech, monologues, training pairs, timeline groups, reports and reviews; their SQL is written by hand.
 
 Spoken texts are made from whole documents: every line stands between beginnings and ends that its number chooses, so
 that all rules meet words they know.
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskb.operators import dialogues, metrics, speech, timeline
+from corpuskb.operators import dialogues, metrics, review, speech, timeline
 from corpuskb.plans.registry import _PAIRS, _table, query
 
 _OPENS = ("— ", "– ", "", "- ", "— Ну и ночь! — сказал Джон Смит. — ", "Впрочем, я подумал: ", "Мне и моей жизни — ", "Честно говоря, мне моя камра и я. ")
@@ -170,3 +170,77 @@ def best_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("run_stats", "SELECT user_id AS run_id, count(*) AS n, max(ts) AS latest_at FROM events GROUP BY user_id")
 def run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.run_stats(_table(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), F.col("ts").alias("at")))
+
+
+@query(
+    "applied_log",
+    """WITH o AS (SELECT user_id::VARCHAR AS entity_id, CASE WHEN event_type <> 'error' THEN event_type END AS after, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events WHERE event_id % 11 <> 0 AND user_id % 4 <> 0),
+    b AS (SELECT DISTINCT user_id::VARCHAR AS entity_id, 'base' AS record FROM events WHERE user_id % 3 <> 0)
+    SELECT entity_id, CASE WHEN o.entity_id IS NULL THEN record ELSE after END AS record FROM b FULL JOIN (SELECT * FROM o WHERE k = 1) o USING (entity_id) WHERE CASE WHEN o.entity_id IS NULL THEN record ELSE after END IS NOT NULL""",
+)
+def applied_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a log over two thirds of the users' base records; some operations lack an id, some an entity."""
+    events = _table(spark, sf_dir, "events")
+    base = events.where("user_id % 3 <> 0").select(F.col("user_id").cast("string").alias("entity_id"), F.lit("base").alias("record")).distinct()
+    op_id, entity = F.when(F.col("event_id") % 11 != 0, F.lpad(F.col("event_id").cast("string"), 20, "0")), F.when(F.col("user_id") % 4 != 0, F.col("user_id").cast("string")).otherwise("")
+    return review.applied(base, events.select(op_id.alias("op_id"), "ts", entity.alias("entity_id"), F.when(F.col("event_type") != "error", F.col("event_type")).alias("after")))
+
+
+@query(
+    "record_updates",
+    """SELECT doc_id, source AS before_source, CASE WHEN doc_id % 2 = 0 THEN 'q' || quality ELSE source END AS source, CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang END AS lang, CASE WHEN doc_id % 5 = 0 THEN 'a,b' ELSE 'old' END AS themes FROM documents JOIN labels USING (doc_id)""",
+)
+def record_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels as patches of documents; a field that may not be patched is among them."""
+    state = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("entity_id"), "source", "lang", F.array(F.lit("old")).alias("theme_ids"))
+    k = F.col("doc_id")
+    source = F.when(k % 2 == 0, F.create_map(F.lit("source"), F.concat(F.lit(" q"), F.col("quality").cast("string"), F.lit(" ")))).otherwise(F.create_map(F.lit("other"), F.lit("x")))
+    lang = F.when(k % 3 == 0, F.create_map(F.lit("lang"), F.lit("  "))).otherwise(F.create_map(F.lit("id"), F.lit("y")))
+    patches = _table(spark, sf_dir, "labels").select(k.alias("entity_id"), F.map_concat(source, lang).alias("patch"), F.when(k % 5 == 0, F.array(*map(F.lit, "aba"))).alias("theme_ids"))
+    out = review.updates(state, patches, ["source", "lang"])
+    return out.select(F.col("entity_id").alias("doc_id"), F.col("before.source").alias("before_source"), F.col("after.source").alias("source"), F.col("after.lang").alias("lang"), F.array_join("after.theme_ids", ",").alias("themes"))
+
+
+@query("relations_of", "SELECT s_suppkey AS fact_id, l_orderkey, l_linenumber FROM supplier JOIN lineitem ON l_suppkey = s_suppkey OR l_partkey = s_suppkey")
+def relations_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items read as relations between suppliers and parts, at either end of each supplier's number."""
+    rows = _table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("source"), F.col("l_partkey").alias("target"), "l_orderkey", "l_linenumber")
+    return review.relations_of(rows, _table(spark, sf_dir, "supplier").select("s_suppkey")).select("fact_id", "l_orderkey", "l_linenumber")
+
+
+@query(
+    "linked_rows",
+    "SELECT conv_id, place, doc_id, lang FROM (SELECT conv_id, unnest([conv_id % 100, -1, conv_id % 7, conv_id % 100]) AS doc_id, unnest([0, 1, 2, 3]) AS place FROM (SELECT DISTINCT conv_id FROM conversations)) JOIN documents USING (doc_id)",
+)
+def linked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that conversations name in lists, one of them unknown and one named twice."""
+    ids = F.array(F.col("conv_id") % 100, F.lit(-1).cast("long"), F.col("conv_id") % 7, F.col("conv_id") % 100)
+    samples = _table(spark, sf_dir, "conversations").select("conv_id").distinct().withColumn("ids", ids)
+    return review.linked(samples, "conv_id", "ids", _table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id").select("conv_id", "place", "doc_id", "lang")
+
+
+_FACT_LINE = "trim(regexp_replace(replace(coalesce(text, ''), '|', '/'), '\\s+', ' ', 'g'))"
+
+
+@query(
+    "suggestions",
+    f"""SELECT doc_id, 1 AS line_no, 'keep' AS action, doc_id::VARCHAR AS fact_id, lang AS category, source AS subject, {_FACT_LINE} AS fact, 'past' AS time_scope, 'why|so' AS reason FROM documents
+    UNION ALL SELECT doc_id, 3, 'drop', doc_id::VARCHAR, NULL, NULL, NULL, NULL, source || '|' || lang FROM documents WHERE doc_id % 2 = 0""",
+)
+def suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers of a review made from whole documents: a fact to keep, lines that say nothing, every second time one to drop."""
+    fact, key = F.trim(F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), "|", "/"), r"\s+", " ")), F.col("doc_id").cast("string")
+    keep = F.concat_ws("|", F.lit(" Keep "), key, F.concat("lang", F.lit(" ")), "source", fact, F.lit(" past "), F.lit("why "), F.lit("so"))
+    drop = F.when(F.col("doc_id") % 2 == 0, F.concat_ws(" | ", F.lit("DROP"), key, "source", "lang")).otherwise("drop|1")
+    return review.suggestions(_table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("\n", F.lit("Here you are:"), keep, F.lit("keep|1|x"), drop).alias("text")), "text")
+
+
+@query(
+    "appended_turns",
+    """SELECT conv_id, turn FROM conversations WHERE conv_id % 2 = 0 UNION ALL SELECT conv_id, turn FROM (SELECT *, row_number() OVER (PARTITION BY role, text ORDER BY conv_id, turn) AS k FROM conversations c WHERE conv_id % 2 = 1
+    AND NOT EXISTS (SELECT 1 FROM conversations e WHERE e.conv_id % 2 = 0 AND e.role = c.role AND e.text = c.text)) WHERE k = 1""",
+)
+def appended_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of odd conversations appended to those of even ones unless their role and text are known."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return review.appended(turns.where("conv_id % 2 = 0"), turns.where("conv_id % 2 = 1"), ["role", "text"], ["conv_id", "turn"]).select("conv_id", "turn")

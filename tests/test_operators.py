@@ -186,3 +186,31 @@ def test_places_lose_prepositions_and_take_the_nominative(spark):
     cases = {"в Доме у Моста": "Дом у Моста", "На улице": "улица", "к": "к", "УЛИЦУ Роз.": "УЛИЦА Роз", None: "", " от до ": "до", "Еллафах": "Еллафах"}
     rows = spark.createDataFrame([(k,) for k in cases], "s string")
     assert [r[0] for r in rows.select(facts.canonical_place(F.col("s"))).collect()] == list(cases.values())
+
+
+def test_log_over_base_records(spark):
+    at = datetime.datetime(2024, 1, 1)
+    base = spark.createDataFrame([("x", "base"), ("y", "base"), ("z", "base")], "entity_id string, record string")
+    ops = spark.createDataFrame([("1", at, "x", "one"), ("2", at, "x", "two"), ("3", at, "y", None), (None, at, "z", None), ("4", at, "", "lost"), ("5", at, "new", "made")], "op_id string, ts timestamp, entity_id string, after string")
+    assert sorted(tuple(r) for r in review.applied(base, ops).collect()) == [("new", "made"), ("x", "two"), ("z", "base")]
+    assert review.applied(base, ops.limit(0)).count() == 3
+
+
+def test_updates_take_named_fields_of_known_records(spark):
+    state = spark.createDataFrame([("x", "old", "kept", ["t"]), ("y", None, None, None)], "entity_id string, subject string, fact string, theme_ids array<string>")
+    patches = spark.createDataFrame([("x", {"subject": " new ", "id": "no"}, ["b", "a", "b"]), ("gone", {"subject": "n"}, None), ("y", {}, None)], "entity_id string, patch map<string,string>, theme_ids array<string>")
+    found = {r["entity_id"]: r for r in review.updates(state, patches, ["subject", "fact"]).collect()}
+    assert set(found) == {"x", "y"}
+    assert tuple(found["x"]["before"]) == ("old", "kept", ["t"]) and tuple(found["x"]["after"]) == ("new", "kept", ["b", "a"])
+    assert tuple(found["y"]["after"]) == (None, None, None)
+
+
+def test_appended_rows_have_new_keys(spark):
+    rows = lambda *r: spark.createDataFrame(r, "n int, role string, text string")
+    existing, new = rows((1, "a", "x"), (2, "a", "x"), (3, None, "y")), rows((4, "a", "x"), (6, "b", "x"), (5, "b", "x"), (7, None, "y"), (8, "a", None), (9, "a", None))
+    assert sorted(r["n"] for r in review.appended(existing, new, ["role", "text"], ["n"]).collect()) == [1, 2, 3, 5, 8]
+
+
+def test_suggestions_of_odd_answers(spark):
+    answers = spark.createDataFrame([(1, "keep|1|place|Bridge| It stands |past|a | b\r\n| drop |1|\nDROP|2|bad\nkeep|1|2|3|4|5"), (2, None), (3, "")], "id int, text string")
+    assert [tuple(r) for r in review.suggestions(answers, "text").orderBy("line_no").select("id", "line_no", "action", "fact_id", "fact", "reason").collect()] == [(1, 0, "keep", "1", "It stands", "a|b"), (1, 2, "drop", "2", None, "bad")]
