@@ -96,3 +96,34 @@ def relation_type(value: Column) -> Column:
     return F.when(key.isin(*RELATION_TYPES), key).otherwise("related_to")
 
 
+#: Parts of file names with the book's narrator and how it is used, first match first.
+BOOK_MODES = {
+    "чуб земли": ("Меламори Блимм", "knowledge_only"),
+    "туланский детектив": ("Меламори Блимм", "knowledge_only"),
+    "властелин морморы": ("Джуффин Халли", "knowledge_only"),
+    "ворона на мосту": ("Шурф Лонли-Локли", "knowledge_only"),
+    "горе господина гро": ("Кофа Йох", "knowledge_only"),
+    "обжора-хохотун": ("Мелифаро", "knowledge_only"),
+    "обжора хохотун": ("Мелифаро", "knowledge_only"),
+    "тубурская игра": ("Нумминорих Кута", "knowledge_only"),
+    "неуловимый хабба": ("Макс", "full"),
+    "дар шаванахолы": ("Макс", "full"),
+    "хроники ехо (сборник)": ("_сборник", "knowledge_raw"),
+    "мой рагнарёк": ("Макс", "voice_only"),
+    "мой рагнарек": ("Макс", "voice_only"),
+    "гнёзда химер": ("Макс", "voice_only"),
+    "гнезда химер": ("Макс", "voice_only"),
+    "ключ из желтого": ("Макс", "voice_only"),
+    "энциклопедия мифов": ("Макс", "voice_only"),
+    "чашка фрая": ("_сборник", "knowledge_raw"),
+    "жалобная книга": ("_сборник", "knowledge_raw"),
+}
+
+
+def book_mode(filename: Column, rules: dict[str, tuple[str, str]] = BOOK_MODES, default: tuple[str, str] = ("Макс", "full")) -> Column:
+    """(narrator, mode) by the first rule whose words the file name contains, whatever their case."""
+    pair = lambda x: F.struct(F.lit(x[0]).alias("narrator"), F.lit(x[1]).alias("mode"))
+    out = pair(default)
+    for key, value in reversed(rules.items()):
+        out = F.when(F.contains(F.lower(filename), F.lit(key)), pair(value)).otherwise(out)
+    return out

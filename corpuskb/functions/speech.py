@@ -35,6 +35,17 @@ VOICE_MARKS = (
 )
 FIRST_PERSON = r"\b(я|мне|мой|моя|моё|мою|моей|моих|меня|мной)\b"
 
+#: Marks of silent speech, of the narrator as its speaker, and the speakers known by name.
+SILENT_MARKS = (
+    "[Бб]езмолвн", r"[Зз]ов\b", r"послал[аи]?\s+зов", "мысленно", r"подумал[аи]?\s+я", r"сказал[аи]?\s+я\s+(?:ему|ей|им)\s+мысленно", r"ответил[аи]?\s+я\s+мысленно",
+    r"услышал\s+я\s+(?:его|её|их)\s+голос", r"прозвучал\s+(?:в|у)\s+(?:моей|моём)\s+голов",
+)
+SILENT_SELF = (r"подумал\s+я", r"сказал\s+я", r"ответил\s+я", r"послал\s+я", r"мой\s+зов", r"я\s+послал")
+KNOWN_SPEAKERS = (
+    "Джуффин", "Шурф", "Мелифаро", "Кофа", "Меламори", "Теххи", "Нумминорих", "Лонли-Локли", "Халли", "Гуриг", "Нуфлин", "Сотофа", "Лойсо", "Дримарондо", "Друппи", "Франк", "Кекки", "Базилио", "Кима", "Анчифа", "Мохи",
+    "Джуффин Халли", "Шурф Лонли-Локли", "Кофа Йох", "Меламори Блимм",
+)
+
 
 def _any(words: tuple[str, ...]) -> str:
     return "(?:" + "|".join(words) + ")"
@@ -65,3 +76,13 @@ def voice_marks(paragraph: Column) -> Column:
 
 def first_person(paragraph: Column) -> Column:
     return F.size(F.regexp_extract_all(paragraph, F.lit("(?iU)" + FIRST_PERSON), F.lit(0)))
+
+
+def is_silent(around: Column) -> Column:
+    return around.rlike("(?U)" + _any(SILENT_MARKS))
+
+
+def silent_speaker(around: Column) -> Column:
+    """The narrator if they say so, else the first of the known speakers whose name stands there, else null."""
+    known = F.coalesce(*(F.when(F.contains(around, F.lit(name)), name) for name in KNOWN_SPEAKERS))
+    return F.when(around.rlike("(?U)" + _any(SILENT_SELF)), NARRATOR).otherwise(known)

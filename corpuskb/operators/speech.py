@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpuskb.functions.speech import NARRATOR, first_person, said, speaker, voice_marks
+from corpuskb.functions.speech import NARRATOR, first_person, is_silent, said, silent_speaker, speaker, voice_marks
 from corpuskb.functions.text import strip_text
 
 
@@ -61,6 +61,28 @@ def pairs_from_monologues(found: DataFrame, key: str, max_items: int = 500) -> D
     return first.where("length(text) between 30 and 1000").select(key, "pos", F.concat(F.lit("[Расскажи, что ты думаешь о: "), topic, F.lit("]")).alias("user"), F.col("text").alias("assistant"))
 
 
+def silent_speech(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(key, line_num, speaker, text, context) of quotes of 5 to 300 characters in lines that, or whose neighbours, speak of silent speech.
+
+    Each quote comes once in a text, whatever its case, the first one. Emphasis marks are not looked at. Null and empty texts give no rows.
+    """
+    lines = F.split(F.col(text), "\n")
+    near = lambda i: strip_text(F.coalesce(F.get(lines, i), F.lit("")))
+    quoted = F.filter(F.transform(lines, lambda x, i: F.struct(strip_text(x).alias("line"), i.alias("i"))), lambda x: (F.length(x["line"]) >= 10) & F.contains(x["line"], F.lit("«")))
+    # missing neighbours add nothing, not even a space
+    around = lambda x: F.concat(x["line"], F.when(x["i"] > 0, F.concat(F.lit(" "), near(x["i"] - 1))).otherwise(""), F.when(x["i"] + 1 < F.size(lines), F.concat(F.lit(" "), near(x["i"] + 1))).otherwise(""))
+    found = F.filter(F.transform(quoted, lambda x: F.struct(x["line"].alias("line"), x["i"].alias("i"), around(x).alias("around"))), lambda x: is_silent(x["around"]))
+    rows = texts.select(F.col(key), F.explode(found).alias("x"))
+    rows = rows.select(key, F.col("x.i").cast("long").alias("line_num"), silent_speaker(F.col("x.around")).alias("speaker"), F.substring("x.line", 1, 200).alias("context"), F.posexplode(F.regexp_extract_all("x.line", F.lit("«([^»]{5,300})»"), F.lit(1))).alias("k", "text"))
+    first = rows.groupBy(key, F.md5(F.lower("text")).alias("h")).agg(F.min_by(F.struct("line_num", "speaker", "text", "context"), F.struct("line_num", "k")).alias("x"))
+    return first.select(key, "x.*")
+
+
+def pairs_from_silent(found: DataFrame, key: str) -> DataFrame:
+    """(key, line_num, user, assistant) of what the narrator says silently, from 15 characters on."""
+    return found.where((F.col("speaker") == NARRATOR) & (F.length("text") >= 15)).select(key, "line_num", F.concat(F.lit("[Безмолвная речь] "), F.substring("context", 1, 200)).alias("user"), F.col("text").alias("assistant"))
+
+
 def training_pair(said_: Column, kind: Column, context: Column, other: Column, other_says: Column) -> Column:
     """(user, assistant) of one extracted dialogue, null if under ten characters are said; a missing kind is a dialogue."""
     said_, context, other_says = strip_text(said_), strip_text(context), strip_text(other_says)

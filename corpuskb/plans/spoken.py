@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuskb.functions import names
 from corpuskb.operators import dialogues, metrics, review, speech, timeline
 from corpuskb.plans.registry import _PAIRS, _table, query
 
@@ -244,3 +245,41 @@ def appended_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of odd conversations appended to those of even ones unless their role and text are known."""
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return review.appended(turns.where("conv_id % 2 = 0"), turns.where("conv_id % 2 = 1"), ["role", "text"], ["conv_id", "turn"]).select("conv_id", "turn")
+
+
+_SILENT_OPENS = ("Я услышал зов: «Джуффин здесь» и ", "Он сказал: «Пойдем домой» ", "", "Мелифаро мысленно ответил: «", "«Зовите всех» и «зовите ВСЕХ» ")
+_SILENT_CLOSES = ("", "», — подумал я", " «Опять зов»", "»")
+_SILENT = f"""(WITH l AS (SELECT doc_id, k - 1 AS line_num, regexp_replace(raw, '^{_S}+|{_S}+$', '', 'g') AS line FROM (SELECT doc_id, k,
+        ['Я услышал зов: «Джуффин здесь» и ', 'Он сказал: «Пойдем домой» ', '', 'Мелифаро мысленно ответил: «', '«Зовите всех» и «зовите ВСЕХ» '][(doc_id + k - 1) % 5 + 1] || l[k] || ['', '», — подумал я', ' «Опять зов»', '»'][(doc_id + k - 1) % 4 + 1] AS raw
+        FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS k FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)))),
+    c AS (SELECT *, concat_ws(' ', line, lag(line) OVER w, lead(line) OVER w) AS c FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY line_num)),
+    q AS (SELECT doc_id, line_num, c, line, unnest(regexp_extract_all(line, '«([^»]{{5,300}})»', 1)) AS text, generate_subscripts(regexp_extract_all(line, '«([^»]{{5,300}})»', 1), 1) AS k FROM c WHERE length(line) >= 10
+        AND regexp_matches(c, '[Бб]езмолвн|[Зз]ов({_B}|$)|послал[аи]?{_S}+зов|мысленно|подумал[аи]?{_S}+я|услышал{_S}+я{_S}+(его|её|их){_S}+голос|прозвучал{_S}+(в|у){_S}+(моей|моём){_S}+голов'))
+    SELECT doc_id, line_num, CASE WHEN regexp_matches(c, '(подумал|сказал|ответил|послал){_S}+я|мой{_S}+зов|я{_S}+послал') THEN 'Макс' WHEN contains(c, 'Джуффин') THEN 'Джуффин' WHEN contains(c, 'Мелифаро') THEN 'Мелифаро' END AS speaker, text, substr(line, 1, 200) AS context
+    FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, lower(text) ORDER BY line_num, k) AS n FROM q) WHERE n = 1)"""
+
+
+def _silent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pick = lambda values, n: F.element_at(F.array(*map(F.lit, values)), (n % len(values) + 1).cast("int"))
+    told = F.transform(F.split("text", "\n"), lambda x, i: F.concat(pick(_SILENT_OPENS, F.col("doc_id") + i), x, pick(_SILENT_CLOSES, F.col("doc_id") + i)))
+    return speech.silent_speech(_table(spark, sf_dir, "documents").select("doc_id", F.array_join(told, "\n").alias("text")), "doc_id")
+
+
+@query("silent_speech", f"SELECT doc_id, line_num, speaker, md5(text) AS said, md5(context) AS context FROM {_SILENT}")
+def silent_speech(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _silent(spark, sf_dir).select("doc_id", "line_num", "speaker", F.md5("text").alias("said"), F.md5("context").alias("context"))
+
+
+@query("silent_pairs", f"""SELECT doc_id, line_num, md5('[Безмолвная речь] ' || context) AS "user", md5(text) AS assistant FROM {_SILENT} WHERE speaker = 'Макс' AND length(text) >= 15""")
+def silent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return speech.pairs_from_silent(_silent(spark, sf_dir), "doc_id").select("doc_id", "line_num", F.md5("user").alias("user"), F.md5("assistant").alias("assistant"))
+
+
+@query(
+    "book_modes",
+    """SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Меламори Блимм' WHEN 2 THEN '_сборник' ELSE 'Макс' END AS narrator, CASE doc_id % 4 WHEN 0 THEN 'knowledge_only' WHEN 1 THEN 'voice_only' WHEN 2 THEN 'knowledge_raw' ELSE 'full' END AS mode FROM documents""",
+)
+def book_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources read as files of known and unknown books."""
+    name = F.element_at(F.array(*map(F.lit, (" Чуб земли.fb2", "Мой Рагнарёк, чашка Фрая", "Жалобная КНИГА", "other.txt"))), (F.col("doc_id") % 4 + 1).cast("int"))
+    return _table(spark, sf_dir, "documents").select("doc_id", names.book_mode(F.concat("source", name)).alias("x")).select("doc_id", "x.narrator", "x.mode")
