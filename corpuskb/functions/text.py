@@ -115,3 +115,10 @@ def messages(system: Column, user: Column, assistant: Column) -> Column:
     """A conversation as (role, content) in order; an empty system text is left out."""
     said = lambda role, text: F.struct(F.lit(role).alias("role"), strip_text(text).alias("content"))
     return F.filter(F.array(said("system", system), said("user", user), said("assistant", assistant)), lambda m: (m["role"] != "system") | (m["content"] != ""))
+
+
+def chunk_heading(chunk: Column, section_break: str = "[[SECTION_BREAK]]") -> Column:
+    """The first heading among a chunk's first six paragraphs, scene breaks and section marks aside; empty if there is none."""
+    parts = F.filter(F.transform(F.split(F.coalesce(chunk, F.lit("")), r"(?U)\n\s*\n+"), strip_text), lambda p: p != "")
+    headings = F.filter(F.slice(parts, 1, 6), lambda p: (p != section_break) & ~is_scene_break(p) & looks_like_heading(p))
+    return F.coalesce(F.get(headings, F.lit(0)), F.lit(""))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskb.functions import names
+from corpuskb.functions.text import chunk_heading
 from corpuskb.operators import dialogues, metrics, review, speech, timeline
 from corpuskb.plans.registry import _PAIRS, _table, query
 
@@ -283,3 +284,15 @@ def book_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources read as files of known and unknown books."""
     name = F.element_at(F.array(*map(F.lit, (" Чуб земли.fb2", "Мой Рагнарёк, чашка Фрая", "Жалобная КНИГА", "other.txt"))), (F.col("doc_id") % 4 + 1).cast("int"))
     return _table(spark, sf_dir, "documents").select("doc_id", names.book_mode(F.concat("source", name)).alias("x")).select("doc_id", "x.narrator", "x.mode")
+
+
+@query(
+    "chunk_headings",
+    """SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'Глава 1. Начало' WHEN doc_id % 4 = 2 THEN 'XIV.' ELSE coalesce(list_filter(list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda p: regexp_replace(p, '^\\s+|\\s+$', '', 'g')), lambda p: p <> '')[1:CASE WHEN doc_id % 4 = 1 THEN 6 ELSE 0 END],
+        lambda p: length(p) <= 120 AND (regexp_matches(p, '(?i)^([ivxlcdm]+|[0-9]+)[.)]?$') OR (length(regexp_replace(p, '[^A-Za-zА-Яа-яЁё]', '', 'g')) >= 4 AND upper(regexp_replace(p, '[^A-Za-zА-Яа-яЁё]', '', 'g')) = regexp_replace(p, '[^A-Za-zА-Яа-яЁё]', '', 'g'))))[1], '') END AS heading FROM documents""",
+)
+def chunk_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as chunks: with a heading after a scene break, with a number, as they are, and with one too far down."""
+    opens = F.element_at(F.array(*map(F.lit, ("***\n\nГлава 1. Начало\n\n", "", "[[SECTION_BREAK]]\n \nXIV.\n\n", "a,\n\nb,\n\ne,\n\nf,\n\ng,\n\nh,\n\nПролог\n\n"))), (F.col("doc_id") % 4 + 1).cast("int"))
+    chunk = F.concat(opens, F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit("\n\n")))
+    return _table(spark, sf_dir, "documents").select("doc_id", chunk_heading(chunk).alias("heading"))
