@@ -13,18 +13,23 @@ from corpuskb.functions.speech import NARRATOR, first_person, is_silent, said, s
 from corpuskb.functions.text import strip_text
 
 
+def _once(value: Column, f) -> Column:
+    """``f`` of a value that is computed once a row: within lambdas a plain expression would be computed anew for every element."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def direct_speech(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, line_num, speaker, text, context_before, raw_line) of all lines with a dash before them.
 
     Context is what stands in the two lines before; the speaker may be named in the two lines after. Lines and speech of
     under five characters are dropped; null and empty texts give no rows, equal rows give equal rows.
     """
-    lines = F.split(F.col(text), "\n")
-    near = lambda start, n: F.array_join(F.filter(F.transform(F.slice(lines, start, n), strip_text), lambda x: x != ""), " ")
+    near = lambda lines, start, n: F.array_join(F.filter(F.transform(F.slice(lines, start, n), strip_text), lambda x: x != ""), " ")
+    numbered = lambda lines: F.transform(lines, lambda x, i: F.struct(strip_text(x).alias("line"), i.alias("i")))
+    spoken = lambda lines: F.filter(numbered(lines), lambda x: x["line"].rlike(r"^([—–]|-\u00a0)"))
     # neighbours are only looked at for lines that speak
-    numbered = F.transform(lines, lambda x, i: F.struct(strip_text(x).alias("line"), i.alias("i")))
-    spoken = F.filter(numbered, lambda x: x["line"].rlike(r"^([—–]|-\u00a0)"))
-    found = F.transform(spoken, lambda x: F.struct(x["line"].alias("line"), x["i"].alias("i"), near(F.greatest(x["i"] - 1, F.lit(1)), F.least(x["i"], F.lit(2))).alias("before"), near(x["i"] + 2, F.lit(2)).alias("after")))
+    beside = lambda lines: F.transform(spoken(lines), lambda x: F.struct(x["line"].alias("line"), x["i"].alias("i"), near(lines, F.greatest(x["i"] - 1, F.lit(1)), F.least(x["i"], F.lit(2))).alias("before"), near(lines, x["i"] + 2, F.lit(2)).alias("after")))
+    found = _once(F.split(F.col(text), "\n"), beside)
     rows = texts.select(F.col(key), F.explode(found).alias("x"))
     rows = rows.withColumn("speech", strip_text(F.regexp_replace("x.line", r"(?U)^[—–]\s*", ""))).where("length(speech) >= 5")
     rows = rows.select(key, F.col("x.i").cast("long").alias("line_num"), speaker(F.col("speech"), F.col("x.after")).alias("speaker"), said(F.col("speech")).alias("text"), F.substring("x.before", 1, 200).alias("context_before"), F.col("x.line").alias("raw_line"))
@@ -66,12 +71,12 @@ def silent_speech(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     Each quote comes once in a text, whatever its case, the first one. Emphasis marks are not looked at. Null and empty texts give no rows.
     """
-    lines = F.split(F.col(text), "\n")
-    near = lambda i: strip_text(F.coalesce(F.get(lines, i), F.lit("")))
-    quoted = F.filter(F.transform(lines, lambda x, i: F.struct(strip_text(x).alias("line"), i.alias("i"))), lambda x: (F.length(x["line"]) >= 10) & F.contains(x["line"], F.lit("«")))
+    near = lambda lines, i: strip_text(F.coalesce(F.get(lines, i), F.lit("")))
+    quoted = lambda lines: F.filter(F.transform(lines, lambda x, i: F.struct(strip_text(x).alias("line"), i.alias("i"))), lambda x: (F.length(x["line"]) >= 10) & F.contains(x["line"], F.lit("«")))
     # missing neighbours add nothing, not even a space
-    around = lambda x: F.concat(x["line"], F.when(x["i"] > 0, F.concat(F.lit(" "), near(x["i"] - 1))).otherwise(""), F.when(x["i"] + 1 < F.size(lines), F.concat(F.lit(" "), near(x["i"] + 1))).otherwise(""))
-    found = F.filter(F.transform(quoted, lambda x: F.struct(x["line"].alias("line"), x["i"].alias("i"), around(x).alias("around"))), lambda x: is_silent(x["around"]))
+    around = lambda lines, x: F.concat(x["line"], F.when(x["i"] > 0, F.concat(F.lit(" "), near(lines, x["i"] - 1))).otherwise(""), F.when(x["i"] + 1 < F.size(lines), F.concat(F.lit(" "), near(lines, x["i"] + 1))).otherwise(""))
+    silent = lambda lines: F.filter(F.transform(quoted(lines), lambda x: F.struct(x["line"].alias("line"), x["i"].alias("i"), around(lines, x).alias("around"))), lambda x: is_silent(x["around"]))
+    found = _once(F.split(F.col(text), "\n"), silent)
     rows = texts.select(F.col(key), F.explode(found).alias("x"))
     rows = rows.select(key, F.col("x.i").cast("long").alias("line_num"), silent_speaker(F.col("x.around")).alias("speaker"), F.substring("x.line", 1, 200).alias("context"), F.posexplode(F.regexp_extract_all("x.line", F.lit("«([^»]{5,300})»"), F.lit(1))).alias("k", "text"))
     first = rows.groupBy(key, F.md5(F.lower("text")).alias("h")).agg(F.min_by(F.struct("line_num", "speaker", "text", "context"), F.struct("line_num", "k")).alias("x"))
