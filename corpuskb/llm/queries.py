@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuskb.llm import bpe, chat, minhash, mixing, packing, pii, quality, repeats, rules, winnow
+from corpuskb.llm import align, bpe, chat, minhash, mixing, packing, periodic, pii, quality, repeats, rules, winnow
 from corpuskb.llm.store import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +67,16 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of tokens of two vocabularies in every document, and what its linked pairs weigh in the corpus."""
+    return align.summarize(table(spark, sf_dir, "documents"), VOCABULARY, PIECES)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, some given a periodic tail first."""
+    return periodic.digests(periodic.find(periodic.planted(table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_minhash": op2_minhash,
@@ -77,6 +88,8 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_context_mixing": op9_context_mixing,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_align": op11_align,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {}
