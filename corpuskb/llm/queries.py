@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuskb.llm import align, bpe, chat, minhash, mixing, packing, periodic, pii, quality, repeats, rules, winnow
+from corpuskb.llm import align, balance, bpe, chat, minhash, mixing, packing, periodic, pii, quality, repeats, rules, winnow
 from corpuskb.llm.store import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -77,6 +77,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(periodic.find(periodic.planted(table(spark, sf_dir, "documents"))))
 
 
+def op13_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all documents takes of each, sources weighing 1, 2, 3, repeating."""
+    return balance.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_minhash": op2_minhash,
@@ -90,6 +95,7 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_align": op11_align,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_entropy_balance": op13_entropy_balance,
 }
 
 ORACLE_SQL: dict[str, str] = {}
