@@ -270,4 +270,4 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # registers the queries of rules and of speech next to these
-from corpuskb.plans import rules, spoken  # noqa: E402, F401
+from corpuskb.plans import rules, spoken, validated  # noqa: E402, F401
