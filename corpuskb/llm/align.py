@@ -14,17 +14,15 @@ that for the side whose bytes have two spellings).
 from __future__ import annotations
 
 import hashlib
-import itertools
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskb.llm.bpe import UNITS, WHITE, tokenizer
+from corpuskb.llm.bpe import WHITE, tokenizer
 from corpuskb.llm.store import materialize
 
 #: Characters of one block: what a task holds of a text's tokens.
@@ -69,22 +67,37 @@ class Transducer:
 
     def ends(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
         """How many tokens of A and of B lie before the end of each group."""
-        i = j = 0
+        i, j, n, empty = 0, 0, len(a), self.empty
         ends_a, ends_b = [], []
-        state = empty = self.empty
-        while i < len(a) or state is not empty:
-            if state.side == 1:
-                state = state[b[j]]
-                j += 1
-            else:
-                state = state[a[i]]
+        try:
+            while i < n:
+                state = empty[a[i]][b[j]]
                 i += 1
-            if state is empty:
+                j += 1
+                while state is not empty:
+                    if state.side == 1:
+                        state = state[b[j]]
+                        j += 1
+                    else:
+                        state = state[a[i]]
+                        i += 1
                 ends_a.append(i)
                 ends_b.append(j)
+        except IndexError:
+            raise ValueError("one side is longer") from None
+        if j < len(b):
+            raise ValueError("one side is longer")
         return ends_a, ends_b
 
 
+class _Pairs(dict):
+    """Groups of one token each as text, by A id << 32 | B id; as many as there can be linked pairs."""
+
+    def __missing__(self, code: int) -> str:
+        self[code] = found = f"{code >> 32}|{code & 0xFFFFFFFF}"
+        return found
+
+
 class Aligner:
     """Two vocabularies, their encoders and their transducer."""
 
@@ -97,9 +110,7 @@ class Aligner:
         self.spelled_a = t.token_bytes
         plain = {token: i for i, token in enumerate(t.token_bytes) if i not in t.specials.values() and token}
         if t.ranked and len(plain) == t.size - len(t.specials):
-            ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=plain, special_tokens={})
-            units = lru_cache(200_000)(ranks.encode_ordinary)
-            self.encode_a = lambda text: list(itertools.chain.from_iterable(map(units, UNITS.findall(text))))
+            self.encode_a = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=plain, special_tokens={}).encode_ordinary
         else:
             from tokenizers import Tokenizer as Library
 
@@ -114,8 +125,8 @@ class Aligner:
         #: Whether no piece goes on with a space behind another character, so that texts can be cut before spaces.
         self.cuts = not any(" " in s.lstrip(b" ").decode() for i, s in enumerate(self.spelled_b) if not self._b.is_byte(i))
         self.machine = Transducer(self.spelled_a, self.spelled_b)
-        self.names_a = [str(i) for i in range(len(self.spelled_a))]
-        self.names_b = [str(i) for i in range(len(pieces))]
+        self._single = _Pairs()
+        self._names = list(map(str, range(max(len(self.spelled_a), len(pieces)))))
 
     def blocks(self, text: str) -> Iterator[str]:
         """A space and the text, in blocks of about ``BLOCK`` characters that no token of either side crosses."""
@@ -131,16 +142,21 @@ class Aligner:
 
         Raises ValueError where the two sides don't spell the text.
         """
+        names = self._names
         for block in self.blocks(text):
             a, b = self.encode_a(block), self._b.encode(block[1:], num_threads=1)
-            whole = block.encode()
-            if b"".join([self.spelled_a[i] for i in a]) != whole or b"".join([self.spelled_b[i] for i in b]) != whole:
+            # what A spells is the text; that B spells the same is what the transducer holds to
+            if b"".join([self.spelled_a[i] for i in a]) != block.encode():
                 raise ValueError("the tokens don't spell the text")
             ends_a, ends_b = self.machine.ends(a, b)
-            names_a, names_b = [self.names_a[i] for i in a], [self.names_b[i] for i in b]
-            groups = [f"{','.join(names_a[i:k])}|{','.join(names_b[j:m])}" for i, k, j, m in zip([0, *ends_a], ends_a, [0, *ends_b], ends_b)]
-            last_a, last_b = np.array(a, np.int64)[np.array(ends_a) - 1], np.array(b, np.int64)[np.array(ends_b) - 1]
-            yield len(a), len(b), groups, last_a << 32 | last_b
+            to_a, to_b = np.array(ends_a), np.array(ends_b)
+            linked = np.array(a, np.int64)[to_a - 1] << 32 | np.array(b, np.int64)[to_b - 1]
+            texts = list(map(self._single.__getitem__, linked.tolist()))
+            from_a, from_b = np.concatenate(([0], to_a[:-1])), np.concatenate(([0], to_b[:-1]))
+            longer = np.flatnonzero((to_a - from_a > 1) | (to_b - from_b > 1))
+            for g, i, k, j, m in zip(longer.tolist(), from_a[longer].tolist(), to_a[longer].tolist(), from_b[longer].tolist(), to_b[longer].tolist(), strict=True):
+                texts[g] = f"{','.join([names[x] for x in a[i:k]])}|{','.join([names[x] for x in b[j:m]])}"
+            yield len(a), len(b), texts, linked
 
 
 _loaded: dict[tuple[str, str], Aligner] = {}
