@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpuskb.functions.text import norm_text, strip_text, text_hash12, tokens
+from corpuskb.functions.text import norm_text, once, strip_text, text_hash12, tokens
 
 # Word lists that results depend on.
 SUBJECT_NOISE = ("сэр", "леди", "господин", "госпожа", "мадам", "месье", "город", "трактир", "орден", "графство", "эпоха", "кодекс", "район", "остров", "улица", "мир", "пёс", "пес")
@@ -50,9 +50,11 @@ SCOPE_ALIASES = {
 }
 PREPOSITIONS = ("к", "ко", "в", "во", "на", "у", "из", "с", "со", "от", "до", "по")
 PLACE_HEADS = {
-    "улица": "улица улице улицу улицы", "дом": "дом доме дома дому домом", "квартира": "квартира квартире квартиру квартиры",
-    "кабинет": "кабинет кабинете кабинету", "комната": "комната комнате комнату комнаты", "крыша": "крыша крыше крышу",
-    "трактир": "трактир трактире трактира", "мост": "мост мосту моста", "город": "город городе города",
+    "улица": "улица", "улице": "улица", "улицу": "улица", "улицы": "улица", "дом": "дом", "доме": "дом", "дома": "дом", "дому": "дом", "домом": "дом",
+    "квартира": "квартира", "квартире": "квартира", "квартиру": "квартира", "квартиры": "квартира", "кабинет": "кабинет", "кабинете": "кабинет",
+    "кабинету": "кабинет", "комната": "комната", "комнате": "комната", "комнату": "комната", "комнаты": "комната", "крыша": "крыша",
+    "крыше": "крыша", "крышу": "крыша", "трактир": "трактир", "трактире": "трактир", "трактира": "трактир", "мост": "мост", "мосту": "мост",
+    "моста": "мост", "город": "город", "городе": "город", "города": "город",
 }
 
 
@@ -72,8 +74,11 @@ def normalized_subject(subject: Column) -> Column:
 def subject_signature(subject: Column) -> Column:
     """The sorted words of a subject without titles and common nouns, or all if nothing is left."""
     found = F.filter(F.split(normalized_subject(subject), " "), lambda t: t != "")
-    kept = _without(found, SUBJECT_NOISE)
-    return F.array_sort(F.array_distinct(F.when(F.size(kept) > 0, kept).otherwise(found)))
+
+    def signed(words: Column) -> Column:
+        return once(_without(words, SUBJECT_NOISE), lambda kept: F.when(F.size(kept) > 0, kept).otherwise(words))
+
+    return F.array_sort(F.array_distinct(once(found, signed)))
 
 
 def content_tokens(fact: Column) -> Column:
@@ -122,36 +127,49 @@ def without_honorifics(subject: Column) -> Column:
     return F.trim(F.regexp_replace(strip_text(subject), r"(?iU)^(?:(?:сэр|леди|господин|госпожа|мадам|месье)\s+)+", ""))
 
 
+def _table(entries: dict[str, str]) -> Column:
+    return F.create_map(*(F.lit(x) for pair in entries.items() for x in pair))
+
+
+def match_case(shape: Column, value: Column) -> Column:
+    """A word in capitals, or with a capital first letter, if the given shape is so."""
+    capital = F.concat(F.upper(F.substring(value, 1, 1)), F.substring(value, 2, 1 << 20))
+    return F.when((F.upper(shape) == shape) & (F.lower(shape) != shape), F.upper(value)).when(F.substring(shape, 1, 1) != F.lower(F.substring(shape, 1, 1)), capital).otherwise(value)
+
+
 def canonical_place(subject: Column) -> Column:
     """A place's name without prepositions before it, its head word in the nominative, no punctuation at its ends."""
-    found = F.filter(F.split(strip_text(subject), r"(?U)\s+"), lambda t: t != "")
-    leading = F.aggregate(F.slice(found, F.lit(1), F.greatest(F.size(found) - 1, F.lit(0))), F.lit(0).cast("int"), lambda n, t: F.when((n >= 0) & norm_text(t).isin(*PREPOSITIONS), n + 1).otherwise(F.when(n >= 0, -n - 1).otherwise(n)))
-    skipped = F.when(leading >= 0, leading).otherwise(-leading - 1)
-    rest = F.slice(found, skipped + 1, F.greatest(F.size(found) - skipped, F.lit(1)))
-    first, head = F.element_at(rest, 1), norm_text(F.element_at(rest, 1))
-    canonical = F.lit(None).cast("string")
-    for name, forms in PLACE_HEADS.items():
-        canonical = F.when(head.isin(*forms.split()), name).otherwise(canonical)
-    cased = F.when((F.upper(first) == first) & (F.lower(first) != first), F.upper(canonical)).when(F.substring(first, 1, 1) != F.lower(F.substring(first, 1, 1)), F.concat(F.upper(F.substring(canonical, 1, 1)), F.substring(canonical, 2, 1 << 20))).otherwise(canonical)
-    joined = F.array_join(F.concat(F.array(F.coalesce(cased, first)), F.slice(rest, 2, 1 << 20)), " ")
-    return F.when(F.size(found) == 0, "").otherwise(F.regexp_replace(joined, r"^[ \t\n\r,;:.!?-]+|[ \t\n\r,;:.!?-]+$", ""))
+
+    def renamed(words: Column) -> Column:
+        # the last word always stays
+        other = F.array_position(F.transform(words, lambda t: norm_text(t).isin(*PREPOSITIONS)), False)
+        skipped = F.least(F.when(other == 0, F.size(words)).otherwise(other - 1), F.size(words) - 1).cast("int")
+        return F.when(F.size(words) == 0, "").otherwise(once(F.slice(words, skipped + 1, F.size(words)), headed))
+
+    def headed(rest: Column) -> Column:
+        first = F.get(rest, F.lit(0))
+        head = once(F.struct(first.alias("first"), _table(PLACE_HEADS)[norm_text(first)].alias("head")), lambda x: F.coalesce(match_case(x["first"], x["head"]), x["first"]))
+        joined = F.array_join(F.concat(F.array(head), F.slice(rest, 2, 1 << 20)), " ")
+        return F.regexp_replace(joined, r"^[ \t\n\r,;:.!?-]+|[ \t\n\r,;:.!?-]+$", "")
+
+    return once(F.filter(F.split(strip_text(subject), r"(?U)\s+"), lambda t: t != ""), renamed)
 
 
 def inferred_scope(fact: Column, category: Column) -> Column:
     """The first scope of which a marker occurs in the fact; else timeless for lasting categories; unclear without words."""
-    found = tokens(fact)
-    out = F.when(category.isin(*TIMELESS), "timeless").otherwise("unclear")
-    for scope, markers in reversed(SCOPES):
-        out = F.when(F.arrays_overlap(found, _words(markers)), scope).otherwise(out)
-    return F.when(F.size(found) == 0, "unclear").otherwise(out)
+
+    def scoped(found: Column) -> Column:
+        out = F.when(category.isin(*TIMELESS), "timeless").otherwise("unclear")
+        for scope, markers in reversed(SCOPES):
+            out = F.when(F.arrays_overlap(found, _words(markers)), scope).otherwise(out)
+        return F.when(F.size(found) == 0, "unclear").otherwise(out)
+
+    return once(tokens(fact), scoped)
 
 
 def time_scope(value: Column, fact: Column, category: Column) -> Column:
     """A known scope or alias as given, else what the fact says."""
-    key, out = norm_text(value), inferred_scope(fact, category)
-    for alias, scope in SCOPE_ALIASES.items():
-        out = F.when(key == alias, scope).otherwise(out)
-    return out
+    return F.coalesce(_table(SCOPE_ALIASES)[norm_text(value)], inferred_scope(fact, category))
 
 
 def scopes_differ(left: Column, right: Column) -> Column:
@@ -159,16 +177,25 @@ def scopes_differ(left: Column, right: Column) -> Column:
     return left.isin(*INFORMATIVE) & right.isin(*INFORMATIVE) & (left != right)
 
 
+def _content(words: Column) -> Column:
+    return F.array_distinct(F.filter(_without(words, STOPWORDS), lambda t: F.length(t) >= 3))
+
+
 def states_differ(left: Column, right: Column) -> Column:
     """Whether two facts that share two content words or more contradict each other, or differ in negation or markers."""
-    a, b = tokens(left), tokens(right)
-    opposed = F.lit(False)
-    for positive, negative in CONTRADICTIONS:
-        for x, y in ((a, b), (b, a)):
-            opposed = opposed | (F.arrays_overlap(x, _words(positive)) & F.arrays_overlap(y, _words(negative)))
-    negated = F.arrays_overlap(a, _words(NEGATIONS)) != F.arrays_overlap(b, _words(NEGATIONS))
-    shared = F.size(F.array_intersect(content_tokens(left), content_tokens(right))) >= 2
-    return (norm_text(left) != "") & (norm_text(right) != "") & (norm_text(left) != norm_text(right)) & shared & (opposed | negated | (marker_tokens(left) != marker_tokens(right)))
+
+    def judged(x: Column) -> Column:
+        a, b = x["a"], x["b"]
+        opposed = F.lit(False)
+        for positive, negative in CONTRADICTIONS:
+            for one, other in ((a, b), (b, a)):
+                opposed = opposed | (F.arrays_overlap(one, _words(positive)) & F.arrays_overlap(other, _words(negative)))
+        negated = F.arrays_overlap(a, _words(NEGATIONS)) != F.arrays_overlap(b, _words(NEGATIONS))
+        marks = lambda words: F.array_sort(F.array_distinct(F.filter(words, lambda t: t.isin(*NEGATIONS, *TEMPORAL))))
+        shared = F.size(F.array_intersect(_content(a), _content(b))) >= 2
+        return (F.size(a) > 0) & (F.size(b) > 0) & (a != b) & shared & (opposed | negated | (marks(a) != marks(b)))
+
+    return once(F.struct(tokens(left).alias("a"), tokens(right).alias("b")), judged)
 
 
 def subjects_alike(left: Column, right: Column) -> Column:

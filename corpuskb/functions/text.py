@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 _EDGES = r"(?U)^\s+|\s+$"
 
 
+def once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once a row, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip_text(value: Column) -> Column:
     """Text without white space at its ends; null is empty."""
     return F.regexp_replace(F.coalesce(value.cast("string"), F.lit("")), _EDGES, "")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskb.functions.text import search_text, strip_text
+from corpuskb.operators.joins import spread
 
 #: Kinds of spoken items.
 KINDS = ("dialogue", "silent_speech", "monologue")
@@ -66,13 +67,8 @@ def near(quote: str, text: str, threshold: float = 0.7) -> tuple[int, float] | N
 
 
 def _met(items: DataFrame, chunks: DataFrame, item_key: str, chunk_key: str) -> DataFrame:
-    """Items with their chunk's columns. Items are dealt into as many parts as a shuffle has partitions, and a chunk goes to
-    the parts that have items of it, so no chunk's items all meet in one task."""
-    parts = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = items.withColumn("_part", F.pmod(F.xxhash64(*items.columns), F.lit(parts)))
-    wanted = dealt.select(F.col(item_key).alias(chunk_key), "_part").where(F.col(chunk_key).isNotNull()).distinct()
-    texts = wanted.join(chunks, chunk_key).withColumnRenamed(chunk_key, "_chunk")
-    return dealt.join(texts, (dealt[item_key] == texts["_chunk"]) & (dealt["_part"] == texts["_part"]), "left").drop(texts["_part"]).drop("_part", "_chunk")
+    """Items with their chunk's columns, and their key as ``_chunk``."""
+    return spread(items.withColumn("_chunk", F.col(item_key)), chunks.withColumnRenamed(chunk_key, "_chunk"), ["_chunk"])
 
 
 def _found(how: str, quote: Column, text: Column) -> Column:
