@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpuskb.functions.text import estimate_tokens, is_scene_break, looks_like_heading, strip_text
+from corpuskb.functions.text import estimate_tokens, is_scene_break, looks_like_heading, once, strip_text
 
 
 def paragraphs(docs: DataFrame, separator: str = r"(?U)\n\s*\n+") -> DataFrame:
@@ -51,16 +51,29 @@ def sections(parts: DataFrame) -> DataFrame:
     return marked.withColumn("section", F.sum(begins.cast("int")).over(so_far)).where("not _broken").drop("_broken", "_after")
 
 
+def _commonest(found: Column) -> Column:
+    """How often the commonest element of an array occurs: the longest stretch of equal ones when sorted."""
+    start = F.struct(F.lit(None).cast("string").alias("at"), F.lit(0).alias("run"), F.lit(0).alias("top"))
+
+    def step(state: Column, x: Column) -> Column:
+        run = F.when(state["at"].eqNullSafe(x), state["run"] + 1).otherwise(1)
+        return F.struct(x.alias("at"), run.alias("run"), F.greatest(state["top"], run).alias("top"))
+
+    return F.aggregate(F.array_sort(found), start, step)["top"].cast("long")
+
+
 def degenerate(docs: DataFrame, min_lines: int = 8, min_words: int = 20) -> DataFrame:
     """Texts of 200 characters or more in which one line makes up over 60 % of the lines, or one run of four words over 35 % of all runs.
 
-    Both rules need a least number of lines or words; texts that neither fits are not returned.
+    Both rules need a least number of lines or words; texts that neither fits are not returned. Each row is judged by itself,
+    without a shuffle; rows that share an id are judged apart.
     """
-    long_ = docs.where(F.length("text") >= 200)
-    parts = paragraphs(long_, "\n").groupBy("doc_id", "paragraph").agg(F.count("*").alias("n"))
-    lines = parts.groupBy("doc_id").agg(F.sum("n").alias("n_lines"), F.max("n").alias("top_lines"))
+    lines = F.filter(F.transform(F.split("text", "\n"), strip_text), lambda x: x != "")
     words = F.filter(F.split(F.lower(strip_text(F.col("text"))), r"(?U)\s+"), lambda w: w != "")
-    runs = long_.select("doc_id", words.alias("w")).where(F.size("w") >= min_words)
-    runs = runs.select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 3), lambda k: F.array_join(F.slice("w", k, 4), " "))).alias("run"))
-    runs = runs.groupBy("doc_id", "run").agg(F.count("*").alias("n")).groupBy("doc_id").agg(F.sum("n").alias("n_runs"), F.max("n").alias("top_runs"))
-    return lines.join(runs, "doc_id", "full").where(f"n_lines >= {min_lines} and top_lines > 0.6 * n_lines or top_runs > 0.35 * n_runs")
+    counts = lambda found: F.struct(F.size(found).cast("long").alias("n"), _commonest(found).alias("top"))
+    fours = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - 3), lambda k: F.array_join(F.slice(w, k, 4), " "))
+    of_lines = once(lines, lambda x: F.when(F.size(x) > 0, counts(x)))
+    of_runs = once(words, lambda w: F.when(F.size(w) >= min_words, once(fours(w), counts)))
+    counted = docs.where(F.length("text") >= 200).select("doc_id", of_lines.alias("l"), of_runs.alias("r"))
+    counted = counted.select("doc_id", F.col("l.n").alias("n_lines"), F.col("l.top").alias("top_lines"), F.col("r.n").alias("n_runs"), F.col("r.top").alias("top_runs"))
+    return counted.where(f"n_lines >= {min_lines} and top_lines > 0.6 * n_lines or top_runs > 0.35 * n_runs")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -45,16 +46,57 @@ def exact_first(pairs: DataFrame) -> DataFrame:
     return keyed.groupBy("_digest", "pair_hash").agg(F.min(F.struct("conv_id", "turn", *columns)).alias("x"), F.count("*").alias("n_copies")).select("x.*", "pair_hash", "n_copies")
 
 
-def _near(value: str, kept: list[str], ratio: float) -> bool:
-    """Whether a text is too like one of those kept; difflib's ratio depends on the order, the kept text comes first."""
-    match = difflib.SequenceMatcher(None, "", value)
-    for old in kept:
-        if abs(len(value) - len(old)) <= 0.3 * len(value):
-            match.set_seq1(old)
-            # the quick ratios are upper bounds
-            if match.real_quick_ratio() > ratio and match.quick_ratio() > ratio and match.ratio() > ratio:
-                return True
-    return False
+class Kept:
+    """The last ``window`` texts kept, and whether another one is too like one of them.
+
+    Matching blocks that make up more than ``ratio`` of two texts share characters and pairs of neighbouring characters:
+    with M characters matched, blocks are at most one more than the characters left over, so of the pairs 3 M less both
+    lengths, less one, are shared. Both counts are taken against all kept texts at once, characters and pairs hashed into
+    columns, which can only raise them; blocks are only sought in texts that get through.
+    """
+
+    _CHARACTERS, _PAIRS = 256, 1024
+
+    def __init__(self, window: int, ratio: float):
+        self.window, self.ratio, self.texts, self._next = window, ratio, [], 0
+        self._counts = np.zeros((window, self._CHARACTERS + self._PAIRS), np.int32)
+        self._lengths = np.zeros(window, np.int64)
+
+    def _counted(self, text: str) -> np.ndarray:
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        pairs = (codes[:-1] * 31 + codes[1:]) % self._PAIRS
+        return np.concatenate([np.bincount(codes % self._CHARACTERS, minlength=self._CHARACTERS), np.bincount(pairs, minlength=self._PAIRS)]).astype(np.int32)
+
+    def takes(self, text: str) -> bool:
+        """Whether a text is unlike all kept ones; then it is kept."""
+        counts, n = self._counted(text), len(self.texts)
+        lengths = self._lengths[:n]
+        open_ = np.flatnonzero(np.abs(len(text) - lengths) <= 0.3 * len(text))
+        both = lengths[open_] + len(text)
+        shared = np.minimum(self._counts[open_], counts)
+        needed = np.maximum(self.ratio * both / 2, 0)
+        alike = (shared[:, : self._CHARACTERS].sum(axis=1) >= needed) & (shared[:, self._CHARACTERS :].sum(axis=1) >= 3 * needed - both - 1)
+        match = difflib.SequenceMatcher(None, "", text)
+        for k in open_[alike].tolist():
+            # difflib's ratio depends on the order, the kept text comes first
+            match.set_seq1(self.texts[k])
+            if match.ratio() > self.ratio:
+                return False
+        self.keep(text, counts)
+        return True
+
+    def keep(self, text: str, counts: np.ndarray | None = None) -> None:
+        if len(self.texts) < self.window:
+            self.texts.append(text)
+        else:
+            self.texts[self._next] = text
+        self._counts[self._next] = self._counted(text) if counts is None else counts
+        self._lengths[self._next] = len(text)
+        self._next = (self._next + 1) % self.window
+
+    def last(self) -> list[str]:
+        """The kept texts in order."""
+        return self.texts[self._next :] + self.texts[: self._next] if len(self.texts) == self.window else list(self.texts)
 
 
 def fuzzy_first(pairs: DataFrame, group: str, text: str, order: list[str], window: int = 200, ratio: float = 0.85) -> DataFrame:
@@ -66,16 +108,13 @@ def fuzzy_first(pairs: DataFrame, group: str, text: str, order: list[str], windo
     ordered = pairs.repartition(group).sortWithinPartitions(group, *order)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        here, kept = None, []
+        here, kept = None, Kept(window, ratio)
         for frame in batches:
             keep = []
             for key, value in zip(frame[group], frame[text].fillna(""), strict=True):
                 if here is None or key != here:
-                    here, kept = key, []
-                close = _near(value, kept, ratio)
-                keep.append(not close)
-                if not close:
-                    kept = [*kept[-window + 1 :], value]
+                    here, kept = key, Kept(window, ratio)
+                keep.append(kept.takes(value))
             yield frame[keep]
 
     return ordered.mapInPandas(run, ordered.schema)
@@ -95,10 +134,11 @@ def fuzzy_first_overall(pairs: DataFrame, text: str, order: list[str], window: i
     fields = T.StructType([*(T.StructField(f.name, f.dataType) for f in dealt.schema.fields), T.StructField("_pos", T.IntegerType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        here, kept = None, []
+        here, kept = None, Kept(window, ratio)
 
         def last() -> pd.DataFrame:
-            return pd.DataFrame({"_part": here, "_pos": range(len(kept)), text: kept}).reindex(columns=fields.names).astype({c: object for c in fields.names if c not in ("_part", "_pos", text)})
+            texts = kept.last()
+            return pd.DataFrame({"_part": here, "_pos": range(len(texts)), text: texts}).reindex(columns=fields.names).astype({c: object for c in fields.names if c not in ("_part", "_pos", text)})
 
         for frame in batches:
             keep = []
@@ -106,11 +146,12 @@ def fuzzy_first_overall(pairs: DataFrame, text: str, order: list[str], window: i
                 if part != here:
                     if here is not None:
                         yield last()
-                    here, kept = part, []
-                stays = guest or not _near(value, kept, ratio)
-                keep.append(stays and not guest)
-                if stays:
-                    kept = [*kept[-window + 1 :], value]
+                    here, kept = part, Kept(window, ratio)
+                if guest:
+                    kept.keep(value)
+                    keep.append(False)
+                else:
+                    keep.append(kept.takes(value))
             yield frame[keep].assign(_pos=-1)
         if here is not None:
             yield last()

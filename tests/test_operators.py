@@ -214,3 +214,26 @@ def test_appended_rows_have_new_keys(spark):
 def test_suggestions_of_odd_answers(spark):
     answers = spark.createDataFrame([(1, "keep|1|place|Bridge| It stands |past|a | b\r\n| drop |1|\nDROP|2|bad\nkeep|1|2|3|4|5"), (2, None), (3, "")], "id int, text string")
     assert [tuple(r) for r in review.suggestions(answers, "text").orderBy("line_no").select("id", "line_no", "action", "fact_id", "fact", "reason").collect()] == [(1, 0, "keep", "1", "It stands", "a|b"), (1, 2, "drop", "2", None, "bad")]
+
+
+def test_texts_kept_by_counts_equal_a_loop_of_ratios():
+    pick = random.Random(6)
+    for window, ratio in ((4, 0.85), (7, 0.6), (3, 0.3)):
+        kept, last = dialogues.Kept(window, ratio), []
+        for k in range(400):
+            t = "" if not k % 50 else "".join(pick.choice("abcdeяж🙂 ") for _ in range(pick.randrange(60)))
+            if last and pick.random() < 0.6:
+                t = "".join(pick.choice("ab ") if pick.random() < 0.12 else c for c in pick.choice(last))
+            want = not any(abs(len(o) - len(t)) <= 0.3 * len(t) and difflib.SequenceMatcher(None, o, t).ratio() > ratio for o in last)
+            assert kept.takes(t) == want
+            if want:
+                last = [*last[1 - window :], t]
+            assert kept.last() == last
+
+
+def test_degenerate_rows_that_share_an_id(spark):
+    lines, words = "same line here\n" * 30 + "other\n" * 4, "one two " * 40
+    plain = " ".join(f"word{k}" for k in range(90))
+    rows = [(1, lines), (1, plain), (2, words), (3, None), (4, ""), (5, "x" * 300), (6, " " * 300), (None, lines)]
+    got = chunks.degenerate(spark.createDataFrame(rows, "doc_id long, text string").withColumn("lines", F.lit(1))).collect()
+    assert sorted(((str(r.doc_id), r.n_lines, r.top_lines) for r in got)) == [("1", 34, 30), ("2", 1, 1), ("None", 34, 30)]
