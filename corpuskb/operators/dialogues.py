@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,33 +50,51 @@ def exact_first(pairs: DataFrame) -> DataFrame:
 class Kept:
     """The last ``window`` texts kept, and whether another one is too like one of them.
 
-    Matching blocks that make up more than ``ratio`` of two texts share characters and pairs of neighbouring characters:
-    with M characters matched, blocks are at most one more than the characters left over, so of the pairs 3 M less both
-    lengths, less one, are shared. Both counts are taken against all kept texts at once, characters and pairs hashed into
-    columns, which can only raise them; blocks are only sought in texts that get through.
+    Matching blocks that make up more than ``ratio`` of two texts share characters and runs of neighbouring characters:
+    of M matched ones in k blocks, M - (q - 1) k runs of q. Blocks are at most one more than the characters left over, and,
+    as the matcher begins them at characters that are rare in a text of 200 or more, at most as many as rare characters
+    are shared. Shared runs are counted against all kept texts at once, hashed into columns, which can only raise
+    them; blocks are only sought in texts that get through.
     """
 
-    _CHARACTERS, _PAIRS = 256, 1024
+    #: Run lengths, and the columns that each is hashed into.
+    _RUNS = {1: 256, 2: 1024, 4: 4096}
 
     def __init__(self, window: int, ratio: float):
         self.window, self.ratio, self.texts, self._next = window, ratio, [], 0
-        self._counts = np.zeros((window, self._CHARACTERS + self._PAIRS), np.int32)
+        self._counts = {q: np.zeros((window, columns), np.int32) for q, columns in self._RUNS.items()}
         self._lengths = np.zeros(window, np.int64)
 
-    def _counted(self, text: str) -> np.ndarray:
+    def _counted(self, text: str) -> dict[int, np.ndarray]:
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        pairs = (codes[:-1] * 31 + codes[1:]) % self._PAIRS
-        return np.concatenate([np.bincount(codes % self._CHARACTERS, minlength=self._CHARACTERS), np.bincount(pairs, minlength=self._PAIRS)]).astype(np.int32)
+        out = {}
+        for q, columns in self._RUNS.items():
+            runs = np.zeros(max(len(codes) - q + 1, 0), np.int64)
+            for k in range(q if len(runs) else 0):
+                runs = runs * 31 + codes[k : len(codes) - q + 1 + k]
+            out[q] = np.bincount(runs % columns, minlength=columns)
+        return out
+
+    def _begins(self, text: str) -> np.ndarray:
+        """The columns of characters that a block can begin at: for long texts those that make up a hundredth at most."""
+        seen = Counter(text)
+        most = len(text) // 100 + 1 if len(text) >= 200 else len(text)
+        mask = np.zeros(self._RUNS[1], bool)
+        mask[[ord(c) % self._RUNS[1] for c, n in seen.items() if n <= most]] = True
+        return mask
 
     def takes(self, text: str) -> bool:
         """Whether a text is unlike all kept ones; then it is kept."""
-        counts, n = self._counted(text), len(self.texts)
-        lengths = self._lengths[:n]
-        open_ = np.flatnonzero(np.abs(len(text) - lengths) <= 0.3 * len(text))
-        both = lengths[open_] + len(text)
-        shared = np.minimum(self._counts[open_], counts)
-        needed = np.maximum(self.ratio * both / 2, 0)
-        alike = (shared[:, : self._CHARACTERS].sum(axis=1) >= needed) & (shared[:, self._CHARACTERS :].sum(axis=1) >= 3 * needed - both - 1)
+        counts = self._counted(text)
+        open_ = np.flatnonzero(np.abs(len(text) - self._lengths[: len(self.texts)]) <= 0.3 * len(text))
+        both = self._lengths[open_] + len(text)
+        shared = np.minimum(self._counts[1][open_], counts[1])
+        needed = self.ratio * both / 2
+        blocks = np.minimum(both - 2 * needed + 1, shared[:, self._begins(text)].sum(axis=1))
+        alike = shared.sum(axis=1) >= needed
+        for q in [q for q in self._RUNS if q > 1]:
+            open_, needed, blocks = open_[alike], needed[alike], blocks[alike]
+            alike = np.minimum(self._counts[q][open_], counts[q]).sum(axis=1) >= needed - (q - 1) * blocks
         match = difflib.SequenceMatcher(None, "", text)
         for k in open_[alike].tolist():
             # difflib's ratio depends on the order, the kept text comes first
@@ -85,12 +104,13 @@ class Kept:
         self.keep(text, counts)
         return True
 
-    def keep(self, text: str, counts: np.ndarray | None = None) -> None:
+    def keep(self, text: str, counts: dict[int, np.ndarray] | None = None) -> None:
         if len(self.texts) < self.window:
             self.texts.append(text)
         else:
             self.texts[self._next] = text
-        self._counts[self._next] = self._counted(text) if counts is None else counts
+        for q, found in (counts or self._counted(text)).items():
+            self._counts[q][self._next] = found
         self._lengths[self._next] = len(text)
         self._next = (self._next + 1) % self.window
 

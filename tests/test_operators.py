@@ -221,9 +221,9 @@ def test_texts_kept_by_counts_equal_a_loop_of_ratios():
     for window, ratio in ((4, 0.85), (7, 0.6), (3, 0.3)):
         kept, last = dialogues.Kept(window, ratio), []
         for k in range(400):
-            t = "" if not k % 50 else "".join(pick.choice("abcdeяж🙂 ") for _ in range(pick.randrange(60)))
+            t = "" if not k % 50 else "".join(pick.choice("abcdeяж🙂 ") for _ in range(pick.choice((10, 60, 350)) + pick.randrange(40)))
             if last and pick.random() < 0.6:
-                t = "".join(pick.choice("ab ") if pick.random() < 0.12 else c for c in pick.choice(last))
+                t = "".join(pick.choice("ab xyzXYZ012") if pick.random() < 0.12 else c for c in pick.choice(last))
             want = not any(abs(len(o) - len(t)) <= 0.3 * len(t) and difflib.SequenceMatcher(None, o, t).ratio() > ratio for o in last)
             assert kept.takes(t) == want
             if want:
