@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,16 +28,22 @@ def with_chapter(parts: DataFrame, default: str = "-") -> DataFrame:
 def packed(docs: DataFrame, limit: int = 2500) -> DataFrame:
     """(doc_id, idx, chunk_text, est_tokens): paragraphs packed greedily in order up to ``limit`` characters; a longer one stands alone."""
     parts = F.filter(F.transform(F.split("text", "\n"), strip_text), lambda p: p != "")
-    start = F.array().cast("array<string>")
-
-    def step(chunks, p):
-        last = F.element_at(chunks, -1)
-        grown = F.concat(last, F.lit("\n\n"), p)
-        fits = (F.size(chunks) > 0) & (F.length(last) + 2 + F.length(p) <= limit)
-        return F.when(fits, F.concat(F.slice(chunks, 1, F.size(chunks) - 1), F.array(grown))).otherwise(F.concat(chunks, F.array(p)))
 
-    chunks = F.aggregate(parts, start, lambda acc, p: F.when(F.size(acc) == 0, F.array(p)).otherwise(step(acc, p)))
-    out = docs.select("doc_id", F.posexplode(chunks).alias("idx", "chunk_text"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for found in batch.column(1).to_pylist():
+                start, held, chunks = 0, -2, []
+                for k, p in enumerate(found or ()):
+                    if k > start and held + 2 + len(p) > limit:
+                        chunks.append("\n\n".join(found[start:k]))
+                        start, held = k, -2
+                    held += 2 + len(p)
+                out.append([*chunks, "\n\n".join(found[start:])] if found else [])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))], ["doc_id", "chunks"])
+
+    chunks = docs.select("doc_id", parts.alias("parts")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, chunks array<string>")
+    out = chunks.select("doc_id", F.posexplode("chunks").alias("idx", "chunk_text"))
     return out.select("doc_id", "idx", "chunk_text", estimate_tokens(F.col("chunk_text")).alias("est_tokens"))
 
 
