@@ -61,7 +61,8 @@ def _last_named(named: DataFrame) -> DataFrame:
 def _renamed(items: DataFrame, known: dict[str, str] | None, exact_only: tuple[str, ...]) -> DataFrame:
     """Items under their subjects' canonical names, facts rewritten and scopes normalized, without those too general."""
     items = items.withColumn("subject", strip_text(F.col("subject"))).withColumn("fact", strip_text(F.col("fact")))
-    items = items.withColumn("narrator", F.coalesce("narrator", F.lit(""))).withColumn("category", F.coalesce("category", F.lit("")))
+    # read three times below, so written once
+    items = stored(items.withColumn("narrator", F.coalesce("narrator", F.lit(""))).withColumn("category", F.coalesce("category", F.lit(""))), "items")
     subjects = stored(items.groupBy(*_SUBJECT).agg(F.max("ord").alias("ord")), "subjects")
     keyed = subjects.drop("ord").withColumn("key", norm_text(F.col("subject")))
     aliases = character_aliases(subjects, known, exact_only).withColumn("category", F.lit("character")).unionByName(place_aliases(subjects).withColumn("category", F.lit("place")))
