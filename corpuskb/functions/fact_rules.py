@@ -103,14 +103,28 @@ def subject_grounded(subject: Column, category: Column, text: Column, keys: Colu
     """
 
     def judged(n: Column) -> Column:
-        told = n.isin("макс", "макс фрай") & text.rlike("(?uU)" + FIRST_PERSON)
+        told = first_person_subject(n) & speaks(text)
         whole = F.contains(F.concat(F.lit(" "), text, F.lit(" ")), F.concat(F.lit(" "), n, F.lit(" ")))
-        enough = once(subject_words(subject, category), lambda w: (F.size(w) > 0) & (F.size(F.filter(w, lambda t: facts.grounded(t, keys))) >= F.when(F.size(w) <= 2, 1).otherwise(2)))
+        enough = once(subject_words(subject, category), lambda w: enough_subject_words(F.size(w), F.size(F.filter(w, lambda t: facts.grounded(t, keys)))))
         return F.when(n == "", False).when(told | whole | (F.size(keys) == 0), True).otherwise(enough)
 
     return F.when(text == "", True).otherwise(once(facts.normalized_subject(subject), judged))
 
 
+def first_person_subject(normalized: Column) -> Column:
+    """Whether a normalized subject is the narrator, who is grounded by the first person."""
+    return normalized.isin("макс", "макс фрай")
+
+
+def speaks(text: Column) -> Column:
+    """Whether a normalized text has a word of the first person."""
+    return text.rlike("(?uU)" + FIRST_PERSON)
+
+
+def enough_subject_words(n: Column, met: Column) -> Column:
+    return (n > 0) & (met >= F.when(n <= 2, 1).otherwise(2))
+
+
 def fact_grounded(fact: Column, category: Column, subject: Column, keys: Column) -> Column:
     """Whether enough of a fact's content words, those of its subject aside, are among a text's keys; a text without keys grounds everything.
 
@@ -118,15 +132,19 @@ def fact_grounded(fact: Column, category: Column, subject: Column, keys: Column)
     """
 
     def judged(words: Column) -> Column:
-        n = F.size(words)
-        met = F.size(F.filter(words, lambda t: facts.grounded(t, keys)))
-        need = F.when(n == 1, 1).when(n <= 4, 2).when(category == "event", F.greatest(F.lit(2), F.floor(n / 3))).otherwise(F.greatest(F.lit(2), F.floor((n + 1) / 2)))
-        return (n == 0) | (met >= need)
+        return enough_fact_words(F.size(words), F.size(F.filter(words, lambda t: facts.grounded(t, keys))), category)
+
+    return F.when(F.size(keys) == 0, True).otherwise(once(fact_words(fact, category, subject), judged))
+
+
+def fact_words(fact: Column, category: Column, subject: Column) -> Column:
+    """A fact's content words without those of its subject, or all if no other is left."""
+    return once(facts.content_tokens(fact), lambda words: once(F.array_except(words, subject_words(subject, category)), lambda other: F.when(F.size(other) > 0, other).otherwise(words)))
 
-    def anchors(words: Column) -> Column:
-        return once(F.array_except(words, subject_words(subject, category)), lambda other: once(F.when(F.size(other) > 0, other).otherwise(words), judged))
 
-    return F.when(F.size(keys) == 0, True).otherwise(once(facts.content_tokens(fact), anchors))
+def enough_fact_words(n: Column, met: Column, category: Column) -> Column:
+    need = F.when(n == 1, 1).when(n <= 4, 2).when(category == "event", F.greatest(F.lit(2), F.floor(n / 3))).otherwise(F.greatest(F.lit(2), F.floor((n + 1) / 2)))
+    return (n == 0) | (met >= need)
 
 
 def anchored(fact: Column, category: Column, subject: Column) -> Column:

@@ -121,3 +121,26 @@ def test_query_over_documents(spark):
     got = {r.ord: r.reason for r in registry.QUERIES["valid_facts"](spark, DATA).collect()}
     want = {r.ord: plain_reason(r.category, r.subject, r.fact, texts.get(r.chunk_id, "")) for r in sourced_facts(spark, DATA).collect()}
     assert got == want and len(set(want.values())) >= 5
+
+
+def test_texts_are_not_copied_for_each_of_their_facts(spark, monkeypatch):
+    """What is dealt out is about as long as both tables, also where a chunk's facts go to several parts."""
+    monkeypatch.setattr(valid_facts, "_PART", 40)
+    text = " ".join(f"слово{k}" for k in range(3000))
+    facts_ = spark.range(0, 200).selectExpr("cast(1 as int) as chunk_id", "'place' as category", "concat('Место слово', id) as subject", "concat('слово', id, ' слово', id + 1, ' слово', id + 2) as fact", "'' as time_scope")
+    chunks = spark.createDataFrame([(1, text), (2, "пусто")], "chunk_id long, text string")
+    looked_up = valid_facts._looked_up
+    made = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        def passing():
+            for batch in batches:
+                made.add(sum(len(t.as_py() or "") for t in batch.column("_text")))
+                yield batch
+
+        yield from looked_up(passing())
+
+    monkeypatch.setattr(valid_facts, "_looked_up", watched)
+    got = valid_facts.validate(facts_, chunks).collect()
+    assert len(got) == 200 and {r.reason for r in got} == {None}
+    assert len(text) <= made.value <= 7 * len(text)
