@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from corpuskb.functions import names
 from corpuskb.functions.text import chunk_heading
 from corpuskb.operators import dialogues, metrics, review, speech, timeline
-from corpuskb.plans.registry import _PAIRS, _table, query
+from corpuskb.plans.registry import _PAIRS, _dealt, _table, query
 
 _OPENS = ("— ", "– ", "", "- ", "— Ну и ночь! — сказал Джон Смит. — ", "Впрочем, я подумал: ", "Мне и моей жизни — ", "Честно говоря, мне моя камра и я. ")
 _CLOSES = ("", " — спросил я.", " — кивнула Леди Анна", "... — сказал он. — И всё...", " — а потом ушла")
@@ -21,7 +21,8 @@ _CLOSES = ("", " — спросил я.", " — кивнула Леди Анна
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pick = lambda values, n: F.element_at(F.array(*map(F.lit, values)), (n % len(values) + 1).cast("int"))
     told = F.transform(F.split("text", "\n"), lambda x, i: F.concat(pick(_OPENS, F.col("doc_id") + i), x, pick(_CLOSES, F.col("doc_id") + i)))
-    return _table(spark, sf_dir, "documents").select("doc_id", F.array_join(told, "\n").alias("text"))
+    # a text is little to read and much to judge, so texts are dealt over all tasks
+    return _dealt(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.array_join(told, "\n").alias("text"))
 
 
 _S = "[\\s\\x{00a0}]"
