@@ -51,13 +51,15 @@ SECTION_BREAK = "[[SECTION_BREAK]]"
 
 
 def sections(parts: DataFrame) -> DataFrame:
-    """Paragraphs with the number of their section; breaks end one and go, a heading begins one unless it is the first."""
+    """Paragraphs with the number of their section and whether they are headings; breaks end one and go, a heading begins one unless it is the first."""
     broken = (F.col("paragraph") == SECTION_BREAK) | is_scene_break(F.col("paragraph"))
     order = W.partitionBy("doc_id").orderBy("pos")
-    marked = parts.select("*", broken.alias("_broken"), F.lag(broken, 1, True).over(order).alias("_after"))
-    begins = ~F.col("_broken") & (F.col("_after") | looks_like_heading(F.col("paragraph")))
+    # each line is judged once, before lines are put in order
+    judged = parts.select("*", broken.alias("_broken"), looks_like_heading(F.col("paragraph")).alias("_heading"))
+    marked = judged.select("*", F.lag("_broken", 1, True).over(order).alias("_after"))
+    begins = ~F.col("_broken") & (F.col("_after") | F.col("_heading"))
     so_far = order.rowsBetween(W.unboundedPreceding, 0)
-    return marked.withColumn("section", F.sum(begins.cast("int")).over(so_far)).where("not _broken").drop("_broken", "_after")
+    return marked.withColumn("section", F.sum(begins.cast("int")).over(so_far)).where("not _broken").withColumnRenamed("_heading", "heading").drop("_broken", "_after")
 
 
 def _commonest(found: Column) -> Column:
