@@ -20,3 +20,8 @@ def test_lines_are_judged_once_before_they_are_put_in_order(spark):
     docs = spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")
     found = chunks.sections(chunks.paragraphs(docs, "\n"))
     assert [(r["pos"], r["section"], r["heading"]) for r in found.orderBy("pos").collect()] == [(0, 1, True), (1, 1, False), (3, 2, False), (4, 3, True), (7, 4, False), (8, 5, True)]
+
+
+def test_texts_are_dealt_before_lines_of_them_are_judged(spark):
+    plan = validated.told_facts(spark, SF).where("subject <> ''")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Repartition")
