@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskb.functions.text import search_text, strip_text
-from corpuskb.operators.joins import spread
+from corpuskb.operators.joins import spread_wide
 
 #: Kinds of spoken items.
 KINDS = ("dialogue", "silent_speech", "monologue")
@@ -33,15 +33,19 @@ def subsequence_lengths(quote: str, text: str, step: int, first: int, count: int
     masks: dict[str, int] = {}
     for k, c in enumerate(quote):
         masks[c] = masks.get(c, 0) | 1 << k
-    lanes = {c: m.to_bytes(width, "little") for c, m in masks.items()}
-    none = bytes(width)
+    table = np.frombuffer(bytes(width) + b"".join([m.to_bytes(width, "little") for m in masks.values()]), np.uint8).reshape(-1, width)
+    # every character's mask is looked up once for all windows that it lies in
+    codes = np.frombuffer(text[first * step : (first + count - 1) * step + n].encode("utf-32-le", "surrogatepass"), "<u4")
+    number = np.zeros(max(int(codes.max()), *map(ord, masks)) + 1, np.int32)
+    number[[*map(ord, masks)]] = np.arange(1, len(masks) + 1)
+    met_by = np.ascontiguousarray(table[number[codes]]).view(f"V{width}").ravel()
     full = int.from_bytes(((1 << n) - 1).to_bytes(width, "little") * count, "little")
     state = full
     for t in range(n):
-        at = first * step + t
-        met = int.from_bytes(b"".join([lanes.get(c, none) for c in text[at : at + (count - 1) * step + 1 : step]]), "little")
+        met = int.from_bytes(met_by[t : t + (count - 1) * step + 1 : step].tobytes(), "little")
         shared = state & met
-        state = (state + shared | state & ~met) & full
+        # a lane's state is all that it had beside what it shares
+        state = (state + shared | state ^ shared) & full
     left = np.frombuffer(state.to_bytes(width * count, "little"), np.uint8).reshape(count, width)
     return n - np.bitwise_count(left).sum(axis=1, dtype=np.int64)
 
@@ -66,9 +70,13 @@ def near(quote: str, text: str, threshold: float = 0.7) -> tuple[int, float] | N
     return None
 
 
-def _met(items: DataFrame, chunks: DataFrame, item_key: str, chunk_key: str) -> DataFrame:
-    """Items with their chunk's columns, and their key as ``_chunk``."""
-    return spread(items.withColumn("_chunk", F.col(item_key)), chunks.withColumnRenamed(chunk_key, "_chunk"), ["_chunk"])
+def _met(items: DataFrame, chunks: DataFrame, item_key: str, chunk_key: str, texts: list[str]) -> DataFrame:
+    """Items with their chunk's columns, its ``texts`` also as they are looked up, and their key as ``_chunk``.
+
+    A chunk is normalized once and not for each item, and it is shuffled once for many items.
+    """
+    read = chunks.withColumns({f"_t_{t}": search_text(F.col(t)) for t in texts})
+    return spread_wide(items.withColumn("_chunk", F.col(item_key)), read.withColumnRenamed(chunk_key, "_chunk"), ["_chunk"])
 
 
 def _found(how: str, quote: Column, text: Column) -> Column:
@@ -82,14 +90,20 @@ def _searched(rows: DataFrame, searches: list[tuple[str, str, str, tuple[str, bo
     places are only looked for where an earlier search, the condition's name, has or hasn't found its quote.
     """
     out = rows
-    for name, quote, text, _ in searches:
-        out = out.withColumn(f"_n_{quote}", search_text(F.col(quote))).withColumn(f"_t_{text}", search_text(F.col(text)))
+    for quote in dict.fromkeys(quote for _, quote, _, _ in searches):
+        out = out.withColumn(f"_n_{quote}", search_text(F.col(quote)))
     for name, quote, text, _ in searches:
         some = F.coalesce((F.col(quote) != "") & (F.col(text) != ""), F.lit(False))
         q, t = F.col(f"_n_{quote}"), F.col(f"_t_{text}")
         at_once = F.when(some & F.contains(F.col(text), F.col(quote)), _found("exact", F.col(quote), F.col(text))).when(some & F.contains(t, q), _found("normalized", q, t))
         out = out.withColumn(name, at_once).withColumn(f"_look_{name}", some & F.col(name).isNull())
     names = [name for name, *_ in searches]
+    # only what is looked at in Python goes there
+    sought = {t: F.lit(False) for t in dict.fromkeys(text for _, _, text, _ in searches)}
+    for name, _, text, _ in searches:
+        sought[text] = sought[text] | F.col(f"_look_{name}")
+    quotes = list(dict.fromkeys(f"_n_{quote}" for _, quote, _, _ in searches))
+    out = out.select(*kept, *names, *quotes, *(f"_look_{name}" for name in names), *(F.when(looked, F.col(f"_t_{t}")).alias(f"_t_{t}") for t, looked in sought.items()))
     result = out.select(*kept, *names).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +129,7 @@ def locate(items: DataFrame, chunks: DataFrame, quote: str = "quote", item_key:
     window that is like enough), null where the quote isn't found, is null or empty or its chunk is missing. A chunk's key
     is unique; items may repeat. An empty table gives no rows.
     """
-    met = _met(items, chunks.select(F.col(chunk_key), F.col(text).alias("_text")), item_key, chunk_key)
+    met = _met(items, chunks.select(F.col(chunk_key), F.col(text).alias("_text")), item_key, chunk_key, ["_text"])
     found = _searched(met.withColumn("_quote", F.col(quote)), [("_found", "_quote", "_text", None)], items.columns, threshold)
     return found.select(*items.columns, "_found.how", "_found.place", "_found.ratio")
 
@@ -131,7 +145,7 @@ def validate(items: DataFrame, chunks: DataFrame, item_key: str = "chunk_id", ch
     texts = chunks.select(F.col(chunk_key), F.col(text).alias("_text"), (F.col(support) if support else F.lit(None).cast("string")).alias("_support"))
     answer, asks = strip_text(F.col("answer")), strip_text(F.col("asks"))
     early = F.when(F.length(answer) < 15, "too_short").when(F.col("kind").isNull(), "missing_type").when(~F.col("kind").isin(*KINDS), "invalid_type")
-    met = _met(items, texts, item_key, chunk_key).withColumn("_early", early)
+    met = _met(items, texts, item_key, chunk_key, ["_text", "_support"]).withColumn("_early", early)
     looked = F.col("_early").isNull() & (F.coalesce("_text", F.lit("")) != "")
     asked = looked & (F.length(asks) > 15)
     met = met.withColumn("_looked", looked).withColumn("_asked", asked).withColumn("_answer", F.when(looked, answer)).withColumn("_asks", F.when(asked, asks))

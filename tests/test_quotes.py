@@ -5,8 +5,9 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from corpuskb.operators import quotes
+from corpuskb.operators import joins, quotes
 from corpuskb.plans import registry
 
 DATA = "/root/testdata/sf0.001"
@@ -142,3 +143,28 @@ def test_query_over_documents(spark):
     assert {r.item_id: r.reason for r in got} == want
     assert len(set(want.values())) == 6
     assert np.mean([v is None for v in want.values()]) > 0.2
+
+
+def test_a_chunk_is_normalized_once_for_its_items(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        if text and len(text) > 200:
+            seen.add(1)
+        return text
+
+    normalize = quotes.search_text
+    monkeypatch.setattr(quotes, "search_text", lambda value: normalize(F.udf(counted, "string")(value)))
+    text = "one long chunk of words that are looked through again and again " * 5
+    items = spark.createDataFrame([(k, 1 + k // 60, text[k : k + 30]) for k in range(61)] + [(61, None, "no chunk at all"), (62, 9, "a missing chunk")], "i long, chunk_id long, quote string").repartition(5)
+    chunks = spark.createDataFrame([(1, text), (2, text), (3, text)], "chunk_id long, text string")
+    found = {r["i"]: r["how"] for r in quotes.locate(items, chunks).collect()}
+    assert found == {k: "exact" if k < 61 else None for k in range(63)}
+    assert seen.value <= 6
+
+
+def test_rows_meet_wide_rows_in_copies(spark):
+    rows = spark.createDataFrame([(k, 1 if k < 50 else 2 if k < 53 else None if k < 55 else 9) for k in range(58)], "i long, k long")
+    table = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, t string")
+    found = {r["i"]: r["t"] for r in joins.spread_wide(rows, table, ["k"], 7).collect()}
+    assert found == {k: "a" if k < 50 else "b" if k < 53 else None for k in range(58)}
