@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from corpuskb.functions import facts
 from corpuskb.functions.text import norm_text
 
 
@@ -15,3 +16,11 @@ def test_every_character_is_kept_or_dropped_as_by_ranges(spark):
     assert rows.where(norm_text(F.col("t")) != ranges).count() == 0
     # ranges of Latin letters and digits are judged one after the other for each character, which takes most of the time
     assert not re.search("0-9|a-z", str(norm_text(F.col("t"))))
+
+
+def test_only_words_that_can_have_an_ending_are_searched_for_one(spark):
+    words = ["house", "башнями", "дома", "дом", "мост1", "1ами", "thouанами", "", None, "а", "ъъъъъ"]
+    pattern = r"\A(.{4,}?)(?:" + "|".join(dict.fromkeys(facts.STEM_ENDINGS)) + r")\Z"
+    rows = spark.createDataFrame([(w,) for w in words], "w string")
+    assert [r[0] for r in rows.select(facts.stem(F.col("w"))).collect()] == [w if w is None else re.sub(pattern, r"\1", w, flags=re.DOTALL) for w in words]
+    assert "CASE WHEN" in str(facts.stem(F.col("w")))
